@@ -3,6 +3,12 @@
 from __future__ import annotations
 
 from .decontaminate import OP1_SQL, op1_decontaminate
+from .mixing import OP4_SQL, op4_mix_sources
+from .simhash import op3_simhash_near_dedup
 
-QUERIES = {"op1_decontaminate": op1_decontaminate}
-ORACLES = {"op1_decontaminate": OP1_SQL}
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_mix_sources": op4_mix_sources,
+}
+ORACLES = {"op1_decontaminate": OP1_SQL, "op4_mix_sources": OP4_SQL}
