@@ -1,6 +1,6 @@
 """Document fingerprints by Merkle trees over sections, paragraphs and pieces of paragraphs.
 
-Sections are divided by empty lines, paragraphs by line ends; a piece ends after a word with a closing mark, or after eight words.
+Sections are divided by empty lines, paragraphs by line ends; a piece ends after a word with a closing mark, or after three words.
 A leaf's hash covers the bytes of a piece, an inner node's the hashes of its children, with a tag for each level, so that
 the root (128 bits of BLAKE2b) tells whether texts are equal, and differing branches lead to the places of edits.
 The likeness of two trees is the share of leaves that they have in common (multiset Jaccard), 1 for equal roots.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 #: Words of a piece without closing mark, and bytes of a hash.
-PIECE_WORDS, DIGEST = 8, 16
+PIECE_WORDS, DIGEST = 3, 16
 
 Tree = tuple[bytes, list[tuple[bytes, list[tuple[bytes, list[bytes]]]]]]
 

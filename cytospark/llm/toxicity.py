@@ -2,7 +2,7 @@
 
 Grades are ordered: 0 good, 1 of low quality, 2 toxic (from the columns quality and toxic of the labels). One weight
 vector serves all thresholds: P(grade > k) = sigmoid(w . x - theta_k) with theta_0 < theta_1, and the expected severity is the
-sum of these probabilities. A feature is whether a word occurs in the text, for the words that Spark's counts over the labelled
+sum of these probabilities. A feature is whether a word, or a stem (the first bytes of longer words), occurs in the text, for those that Spark's counts over the labelled
 sample show to depend on a grade (chi-squared above `MIN_CHI2`).
 
 The model is fitted on a bounded sample, the `SAMPLE` labelled documents of the smallest hash of doc_id; their features go to the driver.
@@ -21,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM_LOWER, Rolling, byte_symbols, join_texts, materialize, table, text_blocks, words_of
+from .common import ALNUM_LOWER, Rolling, byte_symbols, join_texts, materialize, mix, table, text_blocks, words_of
 
 #: The most labelled documents that the fit looks at.
-SAMPLE = 8000
+SAMPLE = 20_000
 #: Words of the model: at most so many, each in so many documents of the sample at least, with such a chi-squared.
-MAX_WORDS, MIN_DOCS, MIN_CHI2 = 4096, 8, 30.0
+MAX_WORDS, MIN_DOCS, MIN_CHI2 = 4096, 5, 25.0
+#: Bytes of the stems that are features beside the whole words.
+STEMS = (8,)
 #: Grades, steps and step size of the fit, and its ridge penalty.
 GRADES, STEPS, RATE, RIDGE = 3, 400, 0.1, 1e-4
 #: A document is rejected if P(grade = 2) is at least this.
@@ -34,13 +36,18 @@ CUTOFF = 0.5
 
 
 def _word_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, word hash) pairs, sorted by text."""
+    """Distinct (text, hash of a word or stem) pairs, sorted by text."""
     blob, bounds = join_texts([t.lower() for t in texts])
     starts, ends, before = words_of(blob, bounds, ALNUM_LOWER)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    doc = np.repeat(np.arange(len(texts)), np.diff(before))
-    hashes = Rolling(byte_symbols(blob))(starts, ends)
+    doc, roll = np.repeat(np.arange(len(texts)), np.diff(before)), Rolling(byte_symbols(blob))
+    docs, names = [doc], [roll(starts, ends)]
+    for n in STEMS:
+        longer = ends - starts > n
+        docs.append(doc[longer])
+        names.append(mix(roll(starts[longer], starts[longer] + n) ^ np.uint64(n)))
+    doc, hashes = np.concatenate(docs), np.concatenate(names)
     order = np.lexsort((hashes, doc))
     doc, hashes = doc[order], hashes[order]
     new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])))
