@@ -11,7 +11,8 @@ times the input, so windows are named in steps:
 3. Windows of open runs are named one by one, by (g, w), and meet again; later ones are covered.
 
 Before each shuffle a task keeps one row for each name in its block of text and settles the others itself: a passage in a third of all documents
-gives a row for each block and not for each document. Groups are walked in sorted order with a state of a few numbers.
+gives a row for each block and not for each document. At the ends of such a passage, where every document goes on in its own way, a block sends few of
+the names to the anchor's group and opens the rest at once. Groups are walked in sorted order with a state of a few numbers.
 Names are pairs of 64-bit hashes, which have to agree both.
 
 Documents are compared by `key`: the doc_id, and the largest integer for null. Rows with the same key aren't earlier than each other.
@@ -33,6 +34,8 @@ _U = np.uint64
 #: Stands for a null doc_id.
 LAST = (1 << 63) - 1
 PLAIN, COVERED, OPEN = 0, 1, 2
+#: Names of one anchor in a block of text from which on they don't all go to its group.
+MOST_NAMES = 4
 
 
 class Spec(NamedTuple):
@@ -97,8 +100,12 @@ def runs_of(spec: Spec, texts: list[bytes]) -> Runs:
     return Runs(blob, starts, ends, first, last, roll, low, high, np.searchsorted(first, low, "right") - 1, grams[anchor], mix(roll(low, high + spec.n) ^ shape))
 
 
-def _names(g: np.ndarray, name: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-    """One plain row for the first document of each (g, name); the other documents are covered, and get any g."""
+def _names(g: np.ndarray, name: np.ndarray, key: np.ndarray, most: int | None = None) -> pa.RecordBatch:
+    """One plain row for the first document of each (g, name); the other documents are covered, and get any g.
+
+    Where g has `most` names in the block, its group is known to be open: two names go to the group, so that all others there open as well, and
+    the rest are open without it.
+    """
     order = np.lexsort((key, name, g))
     g, name, key = g[order], name[order], key[order]
     new = np.ones(len(g), bool)
@@ -110,6 +117,15 @@ def _names(g: np.ndarray, name: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
     plain = new[keep]
     g, name, key = g[keep], name[keep], key[keep]
     kind = np.where(plain, PLAIN, COVERED).astype(np.int8)
+    if most and plain.any():
+        own = np.flatnonzero(plain)
+        first = np.ones(len(own), bool)
+        first[1:] = g[own][1:] != g[own][:-1]
+        begin = np.flatnonzero(first)
+        size = np.diff(np.append(begin, len(own)))
+        rank = np.arange(len(own)) - np.repeat(begin, size)
+        kind[own[(np.repeat(size, size) >= most) & (rank >= 2)]] = OPEN
+        plain = kind == PLAIN
     return pa.RecordBatch.from_arrays([pa.array(np.where(plain, g, mix(name ^ key.view(np.uint64))).view(np.int64)), pa.array(name.view(np.int64)), pa.array(key), pa.array(kind)], ["g", "s", "key", "kind"])
 
 
@@ -122,7 +138,7 @@ def run_rows(spec: Spec, keyed: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches):
             r = runs_of(spec, texts)
-            yield _names(r.g, r.s, batch.column("key").to_numpy()[r.doc])
+            yield _names(r.g, r.s, batch.column("key").to_numpy()[r.doc], MOST_NAMES)
 
     return keyed.select("key", "text").mapInArrow(emit, _ROWS)
 
@@ -174,7 +190,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         g, s, key, kind = (batch.column(n).to_numpy() for n in ("g", "s", "key", "kind"))
         plain = kind == PLAIN
-        parts = [(key[~plain], s[~plain], COVERED)]
+        parts = [(key[kind == k], s[kind == k], k) for k in (COVERED, OPEN)]
         if plain.any():
             (ck, cs), (ok, os_) = state.step(g[plain], s[plain], key[plain])
             parts += [(ck, cs, COVERED), (ok, os_, OPEN)]
@@ -183,9 +199,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(name, pa.int64()), pa.array(kinds)], ["key", "s", "kind"])
 
 
-def settle(rows: DataFrame) -> DataFrame:
-    """(key, s, kind): what is covered and what is open among rows of (g, s, key, kind)."""
-    return rows.repartition("g").sortWithinPartitions("g", "s", "key").mapInArrow(_settle, "key bigint, s bigint, kind tinyint")
+def settle(rows: DataFrame, *by: str) -> DataFrame:
+    """(key, s, kind): what is covered and what is open among rows of (g, s, key, kind).
+
+    Rows are dealt by g, or by the columns given: with (g, s) equal names still meet, but `OPEN` means nothing.
+    """
+    return rows.repartition(*by or ("g",)).sortWithinPartitions("g", "s", "key").mapInArrow(_settle, "key bigint, s bigint, kind tinyint")
 
 
 def by_document(settled: DataFrame) -> DataFrame:
@@ -275,7 +294,7 @@ def finish(spec: Spec, documents: DataFrame, replies: DataFrame, digest: Callabl
     """
     texts = keyed_documents(documents)
     opened = replies.where(F.size("open") > 0).select("key", "open")
-    windows = settle(window_rows(spec, texts.join(opened, "key").select("key", "text", "open")))
+    windows = settle(window_rows(spec, texts.join(opened, "key").select("key", "text", "open")), "g", "s")
     windows = windows.where(F.col("kind") == COVERED).groupBy("key").agg(F.collect_set("s").alias("windows"))
     joined = texts.join(replies, "key", "left").join(windows, "key", "left")
     out = joined.select("key", "text", "covered", "open", "windows").mapInArrow(digest, f"key bigint, {schema}")
