@@ -57,10 +57,10 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return knn_pairs(c, c, 10)
 
 
-@query("J12_nearest_within", with_(CELLS, pairs_sql("cell_type = 'DC'", "cell_type = 'CD8+ T'")) + f"SELECT lnp_region, t AS target_id, n AS neighbor_id, {r('d')} AS distance FROM pr WHERE k = 1 AND d < 20")
+@query("J12_nearest_within", with_(CELLS, pairs_sql("cell_type = 'DC'", "cell_type = 'CD8+ T'")) + f"SELECT lnp_region, t AS target_id, n AS neighbor_id, {r('d')} AS distance FROM pr WHERE k = 1 AND d < 30")
 def _(spark: SparkSession, d: str) -> DataFrame:
     c = cells(spark, d)
-    return nearest_within(c.where("cell_type = 'DC'"), c.where("cell_type = 'CD8+ T'"), 20.0)
+    return nearest_within(c.where("cell_type = 'DC'"), c.where("cell_type = 'CD8+ T'"), 30.0)
 
 
 @query("N1_knn_window", with_(CELLS, pairs_sql("true", other=False)) + "SELECT t AS cell_id, nt AS cell_type, count(*) AS n FROM pr WHERE k <= 10 GROUP BY 1, 2")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import queries_spatial, queries_tables
+from . import queries_images, queries_spatial, queries_tables
 
-MODULES = (queries_tables, queries_spatial)
+MODULES = (queries_tables, queries_spatial, queries_images)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in MODULES for k, v in m.ORACLES.items()}
