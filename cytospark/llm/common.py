@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -10,6 +9,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.scratch import materialize, shared_folder
+
+__all__ = ["materialize"]
+
 #: Bytes of text that a task works on at once; numpy needs about 40 times as much for a moment.
 BLOCK_BYTES = 2_000_000
 
@@ -23,23 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share; a temporary folder only where none is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_dir.isDefined():
-            base = set_dir.get()
-        else:
-            base = tempfile.mkdtemp(prefix="spark-shared-")
-            spark.sparkContext.setCheckpointDir(base)
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it again: cuts lineage, and survives the loss of executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """A new path in the folder that all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

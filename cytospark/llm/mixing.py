@@ -33,6 +33,11 @@ def _hash() -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
+def _key() -> Column:
+    """The source, told from null."""
+    return F.concat(F.when(F.col("source").isNull(), "-").otherwise("+"), F.coalesce("source", F.lit("")))
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """(source, source_size, target) by (source, size): weights are dealt in the order of the sources, and no target is above MOST times its size.
 
@@ -81,8 +86,8 @@ def mix(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, source_key, size, hash) of each document, and the thresholds of each source."""
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(SPACE_CLASS)).cast("bigint").alias("size")
     sized = documents.select("doc_id", "source", size, _hash().alias("hash"))
-    sized = materialize(sized.withColumn("source_key", F.concat(F.when(F.col("source").isNull(), "-").otherwise("+"), F.coalesce("source", F.lit("")))), "sizes")
-    goals = targets(sized).withColumn("source_key", F.concat(F.when(F.col("source").isNull(), "-").otherwise("+"), F.coalesce("source", F.lit(""))))
+    sized = materialize(sized.withColumn("source_key", _key()), "sizes")
+    goals = targets(sized).withColumn("source_key", _key())
     return sized, materialize(thresholds(sized, materialize(goals, "targets")), "thresholds")
 
 
@@ -94,12 +99,13 @@ def take(documents: DataFrame) -> DataFrame:
 
 
 def copies(documents: DataFrame) -> DataFrame:
-    """The documents that the mix takes, all columns, with `copies`: how often each is taken."""
+    """The documents that the mix takes, all columns, with `copies`: how often each is taken (in place of a column of this name)."""
     _, limits = mix(documents)
-    limits = limits.select("source_key", F.col("copies").alias("__copies"), "below")
-    key = F.concat(F.when(F.col("source").isNull(), "-").otherwise("+"), F.coalesce("source", F.lit("")))
-    out = documents.join(limits, key == limits["source_key"]).withColumn("__copies", F.col("__copies") + (_hash() <= F.col("below")).cast("int"))
-    return out.where("__copies > 0").select(*documents.columns, F.col("__copies").cast("int").alias("copies"))
+    names = [c for c in documents.columns if c != "copies"]
+    docs = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("d"), _key().alias("source_key"), _hash().alias("hash"))
+    n = F.col("copies") + (F.col("hash") <= F.col("below")).cast("int")
+    out = docs.join(limits.select("source_key", "copies", "below"), "source_key").withColumn("copies", n.cast("int"))
+    return out.where("copies > 0").select(*[F.col("d").getField(c).alias(c) for c in names], "copies")
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
