@@ -285,10 +285,14 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(S.p_text("p").alias("p_text")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("K3_best_threshold", "SELECT 1.5::DOUBLE AS threshold FROM region LIMIT 1")
+@query(
+    "K3_best_threshold",
+    "WITH h AS (SELECT l_suppkey % 3 AS g, l_quantity AS v FROM lineitem), t AS (SELECT unnest([10.0, 20.0, 30.0, 40.0]::DOUBLE[]) AS t), c AS (SELECT t, count(*) FILTER (g = 0 AND v > t)::DOUBLE AS n, count(*) FILTER (g <> 0 AND v > t) / 2.0::DOUBLE AS p FROM h, t GROUP BY 1) "
+    "SELECT t AS threshold FROM c ORDER BY coalesce(p / nullif(n, 0), 0) + CASE WHEN n <= 3 AND p >= 0.5 THEN 1000 ELSE 0 END DESC, t LIMIT 1",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "region").select(F.lit(1.5).alias("threshold"), F.lit(3.0).alias("selection_score"))
-    return D.best_threshold(rows.unionByName(rows.withColumn("threshold", F.lit(2.0))))
+    hits = table(spark, d, "lineitem").select(F.when(F.col("l_suppkey") % 3 == 0, "negative").otherwise("positive").alias("field"), F.col("l_quantity").cast("double").alias("v"))
+    return D.best_threshold(D.threshold_table(hits, (10.0, 20.0, 30.0, 40.0), "v", (1.0, 2.0), True))
 
 
 @query("W5_lag_change", with_(CELLS, "n AS (SELECT lnp_region, count(*) AS n FROM cells GROUP BY 1)") + f"SELECT lnp_region, n, {r('100.0::DOUBLE * (n - lag(n) OVER (ORDER BY lnp_region)) / lag(n) OVER (ORDER BY lnp_region)')} AS change FROM n")
