@@ -50,8 +50,9 @@ def knn_pairs(targets: DataFrame, reference: DataFrame, k: int, group: str = "ln
     """
     points = reference.select(group, F.col("cell_id"), "x", "y", *keep)
     extent = points.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    # nine buckets hold about 5.6 (k + 1) points, and the k-th neighbour is mostly nearer than one bucket's edge
     area = F.greatest((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")), F.lit(1e-12))
-    edge = F.greatest(F.sqrt(area * (k + 1) / F.col("n") / 3.0), F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) / 1e6, F.lit(1e-9))
+    edge = F.greatest(F.sqrt(area * (k + 1) / F.col("n") / 1.6), F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) / 1e6, F.lit(1e-9))
     extent = materialize(extent.select(group, edge.alias("h"), "x0", "x1", "y0", "y1"), "extent")
     left = targets.select(group, F.col("cell_id").alias("target_id"), F.col("x").alias("tx"), F.col("y").alias("ty"))
     pool, done, wide = points, [], 1

@@ -12,6 +12,7 @@ from ..operators import neighbors as N
 from ..operators.relational import pivot_unique
 from ..operators.spatial import keep_nearest, knn_pairs, nearest_within, radius_pairs
 from ..sources.cells import cells
+from ..sources.scratch import materialize
 from .expression import gate_genes
 from .sql import CELLS, GATES, r, with_
 
@@ -226,7 +227,7 @@ CENTROIDS = ((0.41, 0.17, 0.13, 0.14, 0.15), (0.12, 0.43, 0.16, 0.13, 0.16), (0.
 def _assigned(spark: SparkSession, d: str) -> DataFrame:
     c = cells(spark, d)
     rows = C.to_array(N.neighbor_composition(c), "cell_id", "cell_type", "fraction", KINDS)
-    return C.assign(rows, CENTROIDS).join(c.drop("x", "y"), "cell_id")
+    return materialize(C.assign(rows, CENTROIDS).join(c.drop("x", "y"), "cell_id"), "assigned")
 
 
 _ASSIGNED = with_(
@@ -257,8 +258,12 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return _means(spark, d)
 
 
+def _pct(assigned: DataFrame) -> DataFrame:
+    return C.composition_percent(C.cluster_means(assigned, KINDS))
+
+
 def _means(spark: SparkSession, d: str) -> DataFrame:
-    return C.composition_percent(C.cluster_means(_assigned(spark, d), KINDS))
+    return _pct(_assigned(spark, d))
 
 
 @query("C5_fold_change", _ASSIGNED.rstrip() + ", b AS (SELECT cell_type, count(*) / sum(count(*)) OVER () AS b FROM cells GROUP BY 1), v AS (SELECT cluster, cell_type, b, (mean + b) / sum(mean + b) OVER (PARTITION BY cluster) / b AS v FROM mn JOIN b USING (cell_type)) " + f"SELECT CAST(cluster AS INT) AS cluster, cell_type, {r('log2(v)')} AS log2_fold_change FROM v")
@@ -285,29 +290,31 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query("C9_merge_named", _ASSIGNED + f"SELECT name, cell_type, {r('pct')} AS pct FROM mg")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    m = _means(spark, d)
-    return C.merge_named(m, C.dominant_names(m), C.sizes(_assigned(spark, d), 4))
+    a = _assigned(spark, d)
+    return C.merge_named(_pct(a), C.dominant_names(_pct(a)), C.sizes(a, 4))
 
 
 @query("K5_names_by_size", _ASSIGNED + "SELECT name, CAST(sum(n) AS BIGINT) AS n_cells, CAST(row_number() OVER (ORDER BY sum(n) DESC, min(cluster)) AS INT) AS place FROM nm JOIN sz USING (cluster) GROUP BY name")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return C.names_by_size(C.dominant_names(_means(spark, d)), C.sizes(_assigned(spark, d), 4))
+    a = _assigned(spark, d)
+    return C.names_by_size(C.dominant_names(_pct(a)), C.sizes(a, 4))
 
 
 @query("C10_tissue_enrichment", _ASSIGNED.rstrip() + f", ts AS (SELECT cell_type, 100.0::DOUBLE * count(*) / sum(count(*)) OVER () AS p FROM cells GROUP BY 1) SELECT name, cell_type, {r('log2(pct / p)')} AS log2_enrichment FROM mg JOIN ts USING (cell_type) WHERE pct > 0")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    m = _means(spark, d)
-    named = C.merge_named(m, C.dominant_names(m), C.sizes(_assigned(spark, d), 4))
+    a = _assigned(spark, d)
+    named = C.merge_named(_pct(a), C.dominant_names(_pct(a)), C.sizes(a, 4))
     return C.tissue_enrichment(named.where("pct > 0"), cells(spark, d))
 
 
 @query("C11_abundance_difference", _ASSIGNED + f"SELECT name, {r('100.0::DOUBLE * count_if(NOT lnp_positive) / (SELECT count_if(NOT lnp_positive) FROM an)')} AS pct_negative, {r('100.0::DOUBLE * count_if(lnp_positive) / (SELECT count_if(lnp_positive) FROM an)')} AS pct_positive, {r('100.0::DOUBLE * count_if(lnp_positive) / (SELECT count_if(lnp_positive) FROM an) - 100.0::DOUBLE * count_if(NOT lnp_positive) / (SELECT count_if(NOT lnp_positive) FROM an)')} AS difference FROM an GROUP BY 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return C.abundance_difference(_assigned(spark, d).join(F.broadcast(C.dominant_names(_means(spark, d))), "cluster"))
+    return C.abundance_difference(_named(spark, d))
 
 
 def _named(spark: SparkSession, d: str) -> DataFrame:
-    return _assigned(spark, d).join(F.broadcast(C.dominant_names(_means(spark, d))), "cluster")
+    a = _assigned(spark, d)
+    return a.join(F.broadcast(C.dominant_names(_pct(a))), "cluster")
 
 
 @query("N12_focused_composition", _ASSIGNED.rstrip() + ", z AS (" + " UNION ALL ".join(f"SELECT lnp_region, lnp_call, '{k}' AS cell_type, sum(f{i}) AS s, count(*) AS n FROM ac WHERE lnp_positive AND ac.cell_type = 'DC' GROUP BY 1, 2" for i, k in enumerate(KINDS)) + f") SELECT lnp_region, lnp_call, cell_type, {r('100.0::DOUBLE * s / n')} AS mean_pct FROM z WHERE s > 0")
