@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, table, text_blocks
 from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -55,8 +55,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        values = [fingerprint(t.encode()) if t else 0 for t in batch.column("text").to_pylist()]
+    for batch, texts in text_blocks(batches):
+        values = [fingerprint(t) for t in texts]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(values, "<u8").view("<i8"))], ["doc_id", "fp"])
 
 
@@ -178,7 +178,8 @@ def keep_one(documents: DataFrame) -> DataFrame:
     """
     found = materialize(near_duplicates(documents).select("doc_id", "component_id"), "components")
     drop = found.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
-    kept = documents.join(drop, "doc_id", "left_anti").select(*documents.columns)
+    # the same plan at every size: texts are dealt by doc_id, and the small side is hashed
+    kept = documents.join(drop.hint("shuffle_hash"), "doc_id", "left_anti").select(*documents.columns)
     repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
     return kept.dropDuplicates(["doc_id"]) if repeated.limit(1).count() else kept
 
