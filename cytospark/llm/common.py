@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.scratch import materialize, shared_folder
@@ -14,7 +15,7 @@ from ..sources.scratch import materialize, shared_folder
 __all__ = ["materialize"]
 
 #: Bytes of text that a task works on at once; numpy needs about 40 times as much for a moment.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 #: The white space that separates words: space and U+0009 to U+000D.
 SPACE_CLASS = r"[^\x20\x09-\x0D]+"
@@ -39,15 +40,14 @@ def drop_path(spark: SparkSession, path: str) -> None:
 def text_blocks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches into slices of about `limit` bytes of text (one row at least), with the texts as UTF-8; null is empty."""
     for batch in batches:
-        texts = [t.encode() if t is not None else b"" for t in batch.column(text).to_pylist()]
-        start = size = 0
-        for i, t in enumerate(texts):
-            if i > start and size + len(t) > limit:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(t)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        column = batch.column(text).cast(pa.large_binary())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(start, stop - start), [t or b"" for t in column.slice(start, stop - start).to_pylist()]
+            start = stop
 
 
 def byte_table(chars: Iterable[int]) -> np.ndarray:

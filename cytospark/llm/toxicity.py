@@ -90,17 +90,32 @@ def fit(features: DataFrame) -> dict:
     score = F.greatest(*scores) if len(scores) > 1 else scores[0]
     top = counts.where(seen >= MIN_DOCS).select("word", score.alias("score")).where(F.col("score") >= MIN_CHI2).orderBy(F.desc("score"), "word").limit(MAX_WORDS)
     words = np.sort(np.array([r[0] for r in top.collect()], np.int64).view(np.uint64))
-    chosen = features.select("grade", F.array_intersect("words", F.array(*[F.lit(int(w)) for w in words.view(np.int64)]) if len(words) else F.array().cast("array<bigint>")).alias("words"))
-    rows = chosen.groupBy("grade", F.array_sort("words").alias("words")).count().orderBy("grade", "words").collect()
+    chosen = features.mapInArrow(_chooser(features.sparkSession.sparkContext.broadcast(words)), "grade int, columns binary")
+    rows = chosen.groupBy("grade", "columns").count().orderBy("grade", "columns").collect()
     return {"words": words, **_ordinal(rows, words)}
 
 
+def _chooser(words):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The model's columns of each document, in order, as 16-bit numbers."""
+        known = words.value
+        for batch in batches:
+            columns = []
+            for own in batch.column("words"):
+                own = own.values.to_numpy().view(np.uint64)
+                at = np.minimum(np.searchsorted(known, own), max(len(known) - 1, 0))
+                columns.append(np.sort(at[known[at] == own]).astype("<u2").tobytes() if len(known) else b"")
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(columns, pa.binary())], ["grade", "columns"])
+
+    return run
+
+
 def _ordinal(rows: list, words: np.ndarray) -> dict:
-    """Weights and thresholds by gradient steps (Adam) on the mean log-likelihood of (grade, words, count)."""
+    """Weights and thresholds by gradient steps (Adam) on the mean log-likelihood of (grade, columns, count)."""
     grade, times = np.array([r[0] for r in rows]), np.array([r[2] for r in rows], float)
-    sizes = np.array([len(r[1]) for r in rows])
-    at = np.repeat(np.arange(len(rows)), sizes)
-    col = np.searchsorted(words, np.array([w for r in rows for w in r[1]], np.int64).view(np.uint64)) if sizes.sum() else np.zeros(0, np.int64)
+    parts = [np.frombuffer(r[1], "<u2") for r in rows]
+    at = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
+    col = np.concatenate(parts).astype(np.int64)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     total = times.sum()
     above = [(times[grade > k].sum() + 0.5) / (total + 1) for k in range(GRADES - 1)]
