@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import lineage, rounded
-from ..schemas import lnp_detail
+from ..schemas import AVERAGE_BASIS, AVERAGE_FORMULATION, CALL_BASIS, lnp_detail
 from ..sources.cells import cells, clean_cells, gates
 from . import expression as E
 from . import uptake as U
@@ -95,8 +95,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
         "s AS (SELECT *, CAST(sum(n) OVER (PARTITION BY lnp_call) AS BIGINT) AS total FROM g)",
     )
     + f"""SELECT lnp_call, cell_type, n AS n_lnp_positive, total AS n_lnp_positive_total, {r("100.0::DOUBLE * n / nullif(total, 0)")} AS pct_of_lnp_positive_cells, lnp_number, source_raw_lnp_call, ionizable_lipid, helper_lipid,
-CASE WHEN lnp_call = 'Tissue_average' THEN 'All cells (tissue average)' ELSE formulation END AS formulation,
-CASE WHEN lnp_call = 'Tissue_average' THEN 'All annotated cells in 16 LNP-treated tissue regions' ELSE 'Codebook-matched LNP+ cells' END AS composition_basis FROM s LEFT JOIN detail USING (lnp_call)""",
+CASE WHEN lnp_call = 'Tissue_average' THEN '{AVERAGE_FORMULATION}' ELSE formulation END AS formulation,
+CASE WHEN lnp_call = 'Tissue_average' THEN '{AVERAGE_BASIS}' ELSE '{CALL_BASIS}' END AS composition_basis FROM s LEFT JOIN detail USING (lnp_call)""",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
     return U.positive_composition(cells(spark, d))

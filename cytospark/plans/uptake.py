@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import log2, percent, positive_subset, ratio, sem
 from ..operators.relational import complete_grid, dimension, share, top_categories, top_one
-from ..schemas import LNP_ORDER, LNP_REGIONS, REFERENCE_REGIONS, TISSUE_AVERAGE, lnp_detail
+from ..schemas import AVERAGE_BASIS, AVERAGE_FORMULATION, CALL_BASIS, LNP_ORDER, LNP_REGIONS, REFERENCE_REGIONS, TISSUE_AVERAGE, lnp_detail
 
 def _n() -> Column:
     return F.count(F.lit(1))
@@ -73,8 +73,8 @@ def positive_composition(cells: DataFrame, order: Sequence[str] = LNP_ORDER, n_t
     out = complete_grid(counts.unionByName(every), ["lnp_call", "cell_type"], grid, ["n_lnp_positive"])
     out = share(out, "n_lnp_positive", ["lnp_call"], "pct_of_lnp_positive_cells", "n_lnp_positive_total").join(F.broadcast(lnp_detail(spark)), "lnp_call", "left")
     is_average = F.col("lnp_call") == average
-    basis = F.when(is_average, "All annotated cells in 16 LNP-treated tissue regions").otherwise("Codebook-matched LNP+ cells")
-    return out.withColumn("composition_basis", basis).withColumn("formulation", F.when(is_average, "All cells (tissue average)").otherwise(F.col("formulation")))
+    basis = F.when(is_average, AVERAGE_BASIS).otherwise(CALL_BASIS)
+    return out.withColumn("composition_basis", basis).withColumn("formulation", F.when(is_average, AVERAGE_FORMULATION).otherwise(F.col("formulation")))
 
 
 def relative_enrichment(cells: DataFrame, order: Sequence[str] = LNP_ORDER) -> DataFrame:

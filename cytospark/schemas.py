@@ -14,6 +14,9 @@ TISSUE_AVERAGE = "Tissue_average"
 NO_SIGNAL = "no_lnp_signal"
 IONIZABLE = ("SM-102", "ALC-0315")
 HELPERS = ("DSPC", "DOTAP", "DDAB", "DOPE", "18PG")
+AVERAGE_BASIS = "All annotated cells in 16 LNP-treated tissue regions"
+CALL_BASIS = "Codebook-matched LNP+ cells"
+AVERAGE_FORMULATION = "All cells (tissue average)"
 #: Calls whose raw and corrected labels are exchanged.
 SWAPPED = {"LNP_01": "LNP_02", "LNP_02": "LNP_01"}
 SELECTED_TYPES = ("DC", "CD8+ T", "CD4+ T", "B", "Macrophage")
