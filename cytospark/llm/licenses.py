@@ -84,10 +84,11 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFra
     rows = [(k, size_class(len(w)), w) for k, w in sorted(words.items()) if len(w) >= SHINGLE]
     known = spark.createDataFrame(rows, "template_id string, m int, words array<string>").select("template_id", "m", _shingles(F.col("words")).alias("template"))
     marked = sorted({x for _, _, w in rows for x in marked_words(w)})
-    lower = F.translate("text", _UPPER, _LOWER)
-    docs = documents.select("doc_id", lower.alias("text"))
-    docs = docs.where(F.col("text").rlike("|".join(re.escape(x) for x in marked))) if marked else docs.where(F.lit(False))
-    docs = docs.select("doc_id", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words")).where(F.size("words") >= SHINGLE)
+    lower, any_marked = F.lower("text"), F.lit(False)
+    for x in marked:
+        any_marked = any_marked | F.contains(lower, F.lit(x))
+    docs = documents.select("doc_id", "text").where(any_marked)
+    docs = docs.select("doc_id", F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(WORD), F.lit(0)).alias("words")).where(F.size("words") >= SHINGLE)
     sizes = F.explode(F.array(*[F.lit(m) for m in sorted({m for _, m, _ in rows})] or [F.lit(8)])).alias("m")
     half = (F.col("m") / 2).cast("int")
     windows = docs.select("doc_id", "words", sizes).select("doc_id", "m", "words", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("m") + half), half)).alias("word"))
