@@ -8,6 +8,10 @@ from oracle import connect, same
 from cytospark.plans import registry
 
 
+#: Gated cells of one type near another: the smallest tables have none.
+SPARSE = {"G23_dc_cd8_section", "G24_dc_cd4_activation"}
+
+
 @pytest.fixture(scope="module")
 def con(small):
     return connect(small)
@@ -20,7 +24,7 @@ def test_query(spark, small, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_runs(spark, small, name):
-    assert registry.QUERIES[name](spark, small).count() >= 1
+    assert registry.QUERIES[name](spark, small.replace("sf0.001", "sf0.01") if name in SPARSE else small).count() >= 1
 
 
 def test_entry(spark):
