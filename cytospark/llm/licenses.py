@@ -1,9 +1,11 @@
 """License scans: MinHash bands over overlapping windows find templates, exact shingle containment verifies them; DataFrame functions only.
 
 A template of m words is looked for in windows of 1.5 M words that begin every M / 2 words, where M is the least power of two from 8 up with m <= M:
-each place where it can stand lies within one window. A window that holds 80 % of a template's 5-word shingles resembles it by 0.25 or
-more, so that one of `BANDS` bands of one MinHash each collides with a probability of 1 - 0.75 ** BANDS, over 0.9999. Windows
-that collide are compared shingle by shingle, and the share of the template's shingles must be `CONTAINMENT`.
+each place where it can stand lies within one window. From its own number of shingles follows the least Jaccard resemblance to a window that
+holds 80 % of its 5-word shingles; each M has as many bands, of one MinHash each, as the least of its templates' resemblances needs for a
+window to collide in none with a probability of at most `MISS`. Templates of at most `FEW` shingles have no bands: every window with
+any of their shingles is a candidate, and none is missed. Candidates are compared shingle by shingle, and the share of the template's
+shingles must be `CONTAINMENT`.
 
 A match may miss a fifth of the shingles. Marked words are words of the template that meet more shingles than that, so that each match holds
 one of them; texts and windows without any marked word can't match, and are passed over before they are hashed.
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 32
+SHINGLE, CONTAINMENT = 5, 0.8
+#: Most shingles of a template that is found by them all, and the probability with which bands may miss a window of another.
+FEW, MISS = 12, 1e-6
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,16 +69,34 @@ def marked_words(words: list[str], shingle: int = SHINGLE, containment: float =
     return out
 
 
+def bands_needed(n_shingles: int, m: int) -> int:
+    """Bands that a window of size class m needs to miss a match of a template of so many shingles with a probability of at most MISS."""
+    if n_shingles <= FEW:
+        return 0
+    have = math.ceil(CONTAINMENT * n_shingles - 1e-9)
+    least = have / (m + m // 2 - SHINGLE + 1 + n_shingles - have)
+    return math.ceil(math.log(MISS) / math.log1p(-least)) if least < 1 else 1
+
+
 def _shingles(words: Column) -> Column:
     """Distinct shingles of an array of words."""
     at = F.when(F.size(words) >= SHINGLE, F.sequence(F.lit(1), F.size(words) - (SHINGLE - 1))).otherwise(F.array().cast("array<int>"))
     return F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice(words, i, SHINGLE), " ")))
 
 
-def _banded(df: DataFrame) -> DataFrame:
-    """A row for each band of the column `shingles`, with the least hash of the band's order."""
-    value = F.array_min(F.transform("shingles", lambda s: F.xxhash64(s, F.col("band"))))
-    return df.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))).withColumn("value", value)
+def _by_class(values: dict[int, Column], none: Column) -> Column:
+    out = none
+    for m, v in values.items():
+        out = F.when(F.col("m") == m, v).otherwise(out)
+    return out
+
+
+def _keys(bands: Column, few: Column) -> Column:
+    """(band, value) of the column `shingles`: the least hash of each band's order, and, as band -1, the hashes of those that are in `few`."""
+    none = F.array().cast("array<struct<band:int,value:bigint>>")
+    each = F.transform(F.sequence(F.lit(0), bands - 1), lambda b: F.struct(b.alias("band"), F.array_min(F.transform("shingles", lambda s: F.xxhash64(s, b))).alias("value")))
+    short = F.transform(F.array_intersect("shingles", few), lambda s: F.struct(F.lit(-1).alias("band"), F.xxhash64(s).alias("value")))
+    return F.concat(F.when(bands > 0, each).otherwise(none), short)
 
 
 def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -82,7 +104,14 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFra
     spark = documents.sparkSession
     words = {k: template_words(t) for k, t in templates.items()}
     rows = [(k, size_class(len(w)), w) for k, w in sorted(words.items()) if len(w) >= SHINGLE]
-    known = spark.createDataFrame(rows, "template_id string, m int, words array<string>").select("template_id", "m", _shingles(F.col("words")).alias("template"))
+    grams = {k: {" ".join(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)} for k, _, w in rows}
+    bands, few = {}, {}
+    for k, m, _ in rows:
+        bands[m] = max(bands.get(m, 0), bands_needed(len(grams[k]), m))
+        few[m] = few.get(m, set()) | (grams[k] if len(grams[k]) <= FEW else set())
+    none = F.array().cast("array<string>")
+    known = spark.createDataFrame([(k, m, len(grams[k]) <= FEW, w) for k, m, w in rows], "template_id string, m int, short boolean, words array<string>")
+    known = known.select("template_id", "m", "short", _shingles(F.col("words")).alias("template")).withColumn("shingles", F.col("template"))
     marked = sorted({x for _, _, w in rows for x in marked_words(w)})
     lower, any_marked = F.lower("text"), F.lit(False)
     for x in marked:
@@ -95,8 +124,11 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFra
     windows = windows.select("doc_id", "m", "word", F.slice("words", F.col("word"), F.col("m") + half).alias("words"))
     windows = windows.where(F.arrays_overlap("words", F.array(*[F.lit(x) for x in marked]) if marked else F.array().cast("array<string>")))
     windows = windows.select("doc_id", "m", "word", _shingles(F.col("words")).alias("shingles")).where(F.size("shingles") > 0)
-    bands = _banded(known.withColumn("shingles", F.col("template"))).select("template_id", "m", "template", "band", "value")
-    pairs = _banded(windows).join(F.broadcast(bands), ["m", "band", "value"])
+    n_bands = _by_class({m: F.lit(n) for m, n in bands.items()}, F.lit(0))
+    wanted = known.withColumn("key", F.explode(_keys(F.when(F.col("short"), 0).otherwise(n_bands), F.when(F.col("short"), F.col("shingles")).otherwise(none)))).select("template_id", "m", "template", "key.*")
+    looked = _by_class({m: F.array(*[F.lit(x) for x in sorted(g)]) for m, g in few.items() if g}, none)
+    windows = windows.withColumn("key", F.explode(_keys(n_bands, looked))).select("doc_id", "m", "word", "shingles", "key.*")
+    pairs = windows.join(F.broadcast(wanted), ["m", "band", "value"])
     share = F.size(F.array_intersect("shingles", "template")) / F.size("template")
     pairs = pairs.select("doc_id", "template_id", F.round(share, 6).alias("containment"), (F.col("word") - 1).alias("word")).where(F.col("containment") >= CONTAINMENT)
     best = pairs.groupBy("doc_id", "template_id").agg(F.max(F.struct("containment", (-F.col("word")).alias("at"))).alias("b"))

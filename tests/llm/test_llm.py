@@ -342,6 +342,26 @@ def test_licenses_edges(spark, edge):
     assert licenses.scan(edge, {"tiny": "a b"}).count() == 0
 
 
+def test_licenses_short_lines_anywhere(spark):
+    """Every planted line is found, in the first window that holds it."""
+    line, n = "released under the mit license", 4000
+    rng = np.random.default_rng(10)
+    at = rng.integers(0, 60, n).tolist()
+    rows = [(i, " ".join([*(f"a{x}" for x in rng.integers(0, 10**6, a)), line, *(f"b{x}" for x in rng.integers(0, 10**6, 60))])) for i, a in enumerate(at)]
+    got = {r.doc_id: (r.template_id, r.containment, r.word) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # windows of 12 words begin at every fourth
+    assert got == {i: ("MIT-line", 1.0, max(0, (a - 7 + 3) // 4 * 4)) for i, a in enumerate(at)}
+
+
+def test_licenses_bands_suffice():
+    for t in licenses.TEMPLATES.values():
+        w = licenses.template_words(t)
+        n, m = len({tuple(w[i : i + 5]) for i in range(len(w) - 4)}), licenses.size_class(len(w))
+        have = -(-4 * n // 5)
+        least = have / (m + m // 2 - 4 + n - have)
+        assert n <= licenses.FEW or (1 - least) ** licenses.bands_needed(n, m) <= 1e-6
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 
