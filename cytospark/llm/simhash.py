@@ -11,7 +11,8 @@ A group gives a spanning forest of its links and not all pairs; `components` joi
 fingerprint and enter once.
 
 Nulls and edge cases: a null or empty text has no words and the fingerprint zero, which links like any other; a null doc_id
-takes part, but is nobody's component_id unless the component has no other (then it is null); repeated rows give a row each.
+takes part, but is nobody's component_id unless the component has no other (then it is null); repeated rows give a row each. Rows
+of one doc_id with different texts are documents of their own, linked only if their fingerprints are.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialize, table, text_blocks
 from .components import components
@@ -33,7 +35,7 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 BLOCKS = (11, 11, 11, 11, 10, 10)
 #: Fingerprints of a shard, or of a chunk of a large shard.
 SHARD = 512
-#: Documents without id stand behind all others in a component.
+#: Fingerprints without an id of their own stand behind all others in a component.
 NO_ID = 1 << 62
 
 
@@ -65,6 +67,12 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
 
 
+def _with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, texts in text_blocks(batches):
+        prints = pa.array(np.array([fingerprint(t) for t in texts], "<u8").view("<i8"))
+        yield pa.RecordBatch.from_arrays([*batch.columns, prints], [*batch.schema.names, "__fp"])
+
+
 class BKTree:
     """A metric tree over 64-bit integers; values are (fingerprint, node)."""
 
@@ -160,28 +168,55 @@ def links(nodes: DataFrame) -> DataFrame:
     return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(_link_groups, "u bigint, v bigint")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document."""
+def _linked(documents: DataFrame) -> DataFrame:
+    """(doc_id, fp, component, component_id) of every document; `component` tells components apart, also those of the same component_id."""
     prints = materialize(fingerprints(documents), "fingerprints")
-    node = F.coalesce(F.min("doc_id"), F.lit(NO_ID) + F.shiftrightunsigned(F.col("fp"), 2)).alias("node")
-    nodes = materialize(prints.groupBy("fp").agg(node), "nodes")
+    firsts = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
+    # a doc_id names one fingerprint; another with the same smallest doc_id, like one without, is named by its own bits
+    shared = firsts.where("first IS NOT NULL").groupBy("first").agg(F.min("fp").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialize(shared.select("first", "owner"), "shared")
+    own = F.lit(NO_ID) + F.shiftrightunsigned(F.col("fp"), 2)
+    if shared.limit(1).count():
+        named = firsts.where("first IS NOT NULL").join(shared, "first", "left").select("fp", "first", F.when(F.coalesce("owner", "fp") == F.col("fp"), F.col("first")).otherwise(own).alias("node"))
+        nodes = named.unionByName(firsts.where("first IS NULL").select("fp", "first", own.alias("node")))
+    else:
+        nodes = firsts.select("fp", "first", F.coalesce("first", own).alias("node"))
+    nodes = materialize(nodes, "nodes")
     roots = components(links(nodes))
-    labels = nodes.join(roots.withColumnRenamed("u", "node"), "node", "left").select("fp", F.coalesce("root", "node").alias("component"))
-    labels = materialize(labels.select("fp", F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id")), "labels")
-    return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    labels = nodes.join(roots.withColumnRenamed("u", "node"), "node", "left").select("fp", "first", F.coalesce("root", "node").alias("component"))
+    by_node = F.when(F.col("component") < NO_ID, F.col("component"))
+    if shared.limit(1).count():
+        labels = materialize(labels, "components")
+        low = labels.groupBy("component").agg(F.min("first").alias("low")).where("low <> component")
+        labels = labels.join(low, "component", "left").select("fp", "component", F.coalesce("low", by_node).alias("component_id"))
+    else:
+        labels = labels.select("fp", "component", by_node.alias("component_id"))
+    return prints.join(materialize(labels, "labels"), "fp").select("doc_id", "fp", "component", "component_id")
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document."""
+    return _linked(documents).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """The documents, all columns, with the smallest doc_id of each component; documents without id stay.
 
-    Of repeated rows of the same doc_id one stays.
+    Where a component has its smallest doc_id more than once, the row of the smallest fingerprint (as a signed integer) stays; of rows that share
+    this too, any one. Rows of the same doc_id in different components are kept or dropped each for itself.
     """
-    found = materialize(near_duplicates(documents).select("doc_id", "component_id"), "components")
-    drop = found.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
+    found = materialize(_linked(documents), "components")
+    drop = found.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id")
+    repeated = materialize(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     # the same plan at every size: texts are dealt by doc_id, and the small side is hashed
-    kept = documents.join(drop.hint("shuffle_hash"), "doc_id", "left_anti").select(*documents.columns)
-    repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    return kept.dropDuplicates(["doc_id"]) if repeated.limit(1).count() else kept
+    if not repeated.limit(1).count():
+        return documents.join(drop.distinct().hint("shuffle_hash"), "doc_id", "left_anti").select(*documents.columns)
+    once = documents.join(drop.union(repeated).distinct().hint("shuffle_hash"), "doc_id", "left_anti").select(*documents.columns)
+    again = documents.join(repeated.hint("shuffle_hash"), "doc_id", "left_semi").select(*documents.columns)
+    again = again.mapInArrow(_with_print, T.StructType([*again.schema.fields, T.StructField("__fp", T.LongType())]))
+    best = found.where("doc_id = component_id").groupBy("component").agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("__fp")).select("doc_id", "__fp")
+    again = again.join(best, ["doc_id", "__fp"], "left_semi").dropDuplicates(["doc_id", "__fp"])
+    return once.unionByName(again.select(*documents.columns))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,6 +131,33 @@ def test_simhash_edges(spark, edge):
     assert simhash.near_duplicates(edge.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("p_null, n_ids", [(0.3, 15), (0.3, 10**6), (0.0, 8)])
+def test_keep_one_of_repeated_and_missing_ids(spark, p_null, n_ids):
+    """Rows without id, and rows of one id with different texts, against brute force."""
+    rng = np.random.default_rng(5)
+    base = [" ".join(f"t{k}x{x}" for x in rng.integers(0, 10**6, 300)) for k in range(25)]
+    texts = [base[k] + " more" * int(rng.integers(0, 2)) for k in rng.integers(0, len(base), 80)]
+    rows = [(None if rng.random() < p_null else int(rng.integers(0, n_ids)), t) for t in texts]
+    signed = {t: simple_print(t) - (simple_print(t) >> 63 << 64) for t in texts}
+    root = {t: t for t in texts}
+    for a in root:
+        for b in root:
+            if ((signed[a] ^ signed[b]) & (2**64 - 1)).bit_count() <= 4 and root[a] != root[b]:
+                old, new = root[a], root[b]
+                root.update({x: new for x in root if root[x] == old})
+    want, by_component, first = [(None, t) for i, t in rows if i is None], {}, {}
+    for i, t in rows:
+        if i is not None:
+            by_component.setdefault(root[t], []).append((i, signed[t], t))
+    for c, found in by_component.items():
+        first[c] = min(found)[0]
+        want.append((first[c], min(found)[2]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_text((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()) == by_text(want)
+    got = simhash.near_duplicates(docs).collect()
+    assert by_text((r.doc_id, r.fingerprint, r.component_id) for r in got) == by_text((i, f"{signed[t] & (2**64 - 1):016x}", first.get(root[t])) for i, t in rows)
+
+
 def test_bk_tree_in_chunks():
     rng = np.random.default_rng(3)
     base = [int(x) for x in rng.integers(0, 2**63, 40)]
