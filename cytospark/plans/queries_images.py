@@ -161,9 +161,9 @@ sc AS (SELECT lb.fov, label, count(*) FILTER (ch = 1) AS a, count(*) FILTER (ch
 )
 
 
-def _classes(spark: SparkSession, d: str) -> DataFrame:
+def _classes(spark: SparkSession, d: str, spots=_spots) -> DataFrame:
     labels = I.label_components(_bright(spark, d), BY, WIDTH)
-    counts = I.spots_per_cell(labels, _spots(spark, d), BY, ["barcode1", "barcode2"])
+    counts = I.spots_per_cell(labels, spots(spark, d), BY, ["barcode1", "barcode2"])
     return counts.withColumn("classification", D.two_barcode_class("barcode1_spot_count", "barcode2_spot_count", 4))
 
 
@@ -174,8 +174,32 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query("G29_two_oligo_summary", _CLASSES + "SELECT fov, count(*) AS n_cells, " + ", ".join(f"count_if(classification = '{c}') AS n_{c}" for c in ("both_barcodes", "barcode1_only", "barcode2_only", "no_barcode")) + " FROM cl GROUP BY 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
+    return _class_counts(_classes(spark, d))
+
+
+def _class_counts(classes: DataFrame) -> DataFrame:
     names = ("both_barcodes", "barcode1_only", "barcode2_only", "no_barcode")
-    return _classes(spark, d).groupBy("fov").agg(F.count(F.lit(1)).alias("n_cells"), *[F.count_if(F.col("classification") == c).alias(f"n_{c}") for c in names])
+    return classes.groupBy("fov").agg(F.count(F.lit(1)).alias("n_cells"), *[F.count_if(F.col("classification") == c).alias(f"n_{c}") for c in names])
+
+
+def _all_spots(spark: SparkSession, d: str) -> DataFrame:
+    """Every order line is a spot, odd line numbers in the first channel."""
+    channel = F.when(F.col("l_linenumber") % 2 == 1, "barcode1").otherwise("barcode2").alias("channel")
+    return table(spark, d, "lineitem").select(F.expr("cast(l_suppkey % 3 as int)").alias("fov"), F.expr("cast(l_orderkey % 96 as int)").alias("i"), F.expr("cast(l_partkey % 96 as int)").alias("j"), channel)
+
+
+def _all_lines(sql: str) -> str:
+    return sql.replace("l_linenumber AS ch FROM lineitem WHERE l_linenumber <= 2", "2 - l_linenumber % 2 AS ch FROM lineitem")
+
+
+@query("I15_spots_per_cell_all", _all_lines(ORACLES["I15_spots_per_cell"]))
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return _classes(spark, d, _all_spots)
+
+
+@query("G29_two_oligo_summary_all", _all_lines(ORACLES["G29_two_oligo_summary"]))
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return _class_counts(_classes(spark, d, _all_spots))
 
 
 @query(
@@ -295,11 +319,20 @@ z AS (SELECT *, CASE WHEN total_barcode_spots = 0 THEN 'no_barcode' WHEN d = 0 T
 SELECT cell, CAST(total_barcode_spots AS BIGINT) AS total_barcode_spots, barcode, st AS barcode_match_status, CAST(d AS INT) AS barcode_match_distance, st IN ('exact', 'tolerant') AS lnp_positive, CASE WHEN st IN ('exact', 'tolerant') THEN call ELSE 'no_barcode' END AS lnp_call FROM z""",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
+    return _supplier_calls(spark, d, _rare(spark, d))
+
+
+def _supplier_calls(spark: SparkSession, d: str, called: DataFrame) -> DataFrame:
     features = table(spark, d, "supplier").select(F.col("s_suppkey").alias("cell"))
-    out = D.cell_calls(features, D.bit_counts(_rare(spark, d), D.ROUND_1), D.ROUND_1)
+    out = D.cell_calls(features, D.bit_counts(called, D.ROUND_1), D.ROUND_1)
     return out.select("cell", "total_barcode_spots", "barcode", "barcode_match_status", "barcode_match_distance", "lnp_positive", "lnp_call")
 
 
+@query("B8_cell_calls_all", ORACLES["B8_cell_calls"].replace(" WHERE l_suppkey % 4 = 0 OR substr(lpad(bin(l_partkey * 37 % 4096), 12, '0'), 1, 7) = '0100001'", ""))
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return _supplier_calls(spark, d, _called(spark, d))
+
+
 @query(
     "N17_assign_spots",
     "WITH c AS (SELECT event_id AS cell, (event_id * 7919) % 601 AS x, (event_id * 104729) % 599 AS y FROM events WHERE event_id % 50 = 0), s AS (SELECT event_id AS spot_id, (event_id * 31) % 601 AS x, (event_id * 17) % 599 AS y FROM events WHERE event_id % 3 = 1), "
@@ -313,6 +346,19 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return I.assign_spots(spots, centroids, 25.0, "field").select("spot_id", "cell", "cell_distance")
 
 
+@query(
+    "N17_assign_spots_all",
+    ORACLES["N17_assign_spots"]
+    .replace("SELECT event_id AS cell, (event_id * 7919) % 601 AS x, (event_id * 104729) % 599 AS y FROM events WHERE event_id % 50 = 0", "SELECT s_suppkey AS cell, (s_suppkey * 7919) % 601 AS x, (s_suppkey * 104729) % 599 AS y FROM supplier")
+    .replace(" FROM events WHERE event_id % 3 = 1", " FROM events"),
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    place = lambda k, a, b: {"x": F.expr(f"cast({k} * {a} % 601 as double)"), "y": F.expr(f"cast({k} * {b} % 599 as double)"), "field": F.lit("all")}
+    centroids = table(spark, d, "supplier").select(F.col("s_suppkey").alias("cell")).withColumns(place("cell", 7919, 104729))
+    spots = table(spark, d, "events").select(F.col("event_id").alias("spot_id")).withColumns(place("spot_id", 31, 17))
+    return I.assign_spots(spots, centroids, 25.0, "field").select("spot_id", "cell", "cell_distance")
+
+
 @query("J2_merge_report", "SELECT CASE WHEN o_custkey IS NULL THEN 'left_only' WHEN c_custkey IS NULL THEN 'right_only' ELSE 'both' END AS _merge, count(*) AS n FROM customer FULL JOIN orders ON c_custkey = o_custkey GROUP BY 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return merge_report(table(spark, d, "customer").select(F.col("c_custkey").alias("key")), table(spark, d, "orders").select(F.col("o_custkey").alias("key")), ["key"])
