@@ -6,8 +6,9 @@ many boilerplate lines as a page of it has lines on average, divided by RATIO, s
 it goes to all executors and the texts are never shuffled, else lines and texts are joined by page.
 
 Nulls and edge cases: a null text stays null and an empty one empty; blank lines are neither counted nor dropped; a page counts
-once for a line that it repeats; a null host is a host of its own; a page that would lose all its lines keeps them, as it is a copy rather
-than a page around boilerplate; repeated rows count as pages of their own.
+once for a line that it repeats; a null host is a host of its own; with `keep_whole` a page that would lose all its lines keeps them, as it is a copy rather
+than a page around boilerplate; repeated rows count as pages of their own. `op7_line_dedup_all` has no such exemption and a floor of two pages:
+every line over the ratio goes.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 RATIO, MIN_PAGES = 0.1, 5
+#: Fewest pages on which a line can repeat.
+LEAST_PAGES = 2
 #: Largest list of boilerplate lines, at 150 bytes each, that goes to all executors.
 BROADCAST_BYTES, LINE_BYTES = 16_000_000, 150
 
@@ -39,7 +42,7 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
     return counts.join(totals, "host_key").where(F.col("n") > F.col("pages") * ratio).select("host_key", "line_key")
 
 
-def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_bytes: int = BROADCAST_BYTES, keep_whole: bool = True) -> DataFrame:
     """`pages` with `__lines` (all lines) and `__kept` (without the boilerplate of the host)."""
     pages = pages.withColumn("host_key", F.concat(F.when(host.isNull(), "-").otherwise("+"), F.coalesce(host, F.lit("")))).withColumn("lines", lines)
     found = materialize(boilerplate(pages.select("host_key", "lines"), ratio, min_pages), "boilerplate")
@@ -55,7 +58,7 @@ def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float
     none = F.array().cast("array<string>")
     kept = F.filter("lines", lambda x: (F.trim(x) == "") | ~F.array_contains(F.coalesce(F.col("drop"), none), _key(x)))
     out = out.withColumn("kept", F.when(F.col("drop").isNull(), F.col("lines")).otherwise(kept))
-    whole = F.col("lines").isNull() | F.exists("kept", lambda x: F.trim(x) != "")
+    whole = F.lit(not keep_whole) | F.col("lines").isNull() | F.exists("kept", lambda x: F.trim(x) != "")
     return out.withColumn("__lines", F.col("lines")).withColumn("__kept", F.when(whole, F.col("kept")).otherwise(F.col("lines"))).drop("lines", "kept", "drop", "host_key")
 
 
@@ -80,8 +83,17 @@ def host_of(url: Column) -> Column:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with its host, lines, dropped lines and the text that is kept."""
+    return _deduplicated(spark, sf_dir, MIN_PAGES, True)
+
+
+def op7_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every line over the ratio dropped, on hosts of two pages and on pages of boilerplate only too."""
+    return _deduplicated(spark, sf_dir, LEAST_PAGES, False)
+
+
+def _deduplicated(spark: SparkSession, sf_dir: str, min_pages: int, keep_whole: bool) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "html", host_of(F.col("url")).alias("host"))
-    out = drop_boilerplate(pages, F.col("host"), html_lines(F.col("html")))
+    out = drop_boilerplate(pages, F.col("host"), html_lines(F.col("html")), min_pages=min_pages, keep_whole=keep_whole)
     n = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)).cast("bigint")
     return out.select("page_id", "host", n("__lines").alias("n_lines"), (n("__lines") - n("__kept")).alias("n_dropped"), F.array_join("__kept", "\n").alias("kept_text"))
 
@@ -99,3 +111,5 @@ k AS (SELECT page_id, p.host, ls, CASE WHEN gone IS NULL THEN ls ELSE list_filte
 f AS (SELECT page_id, host, ls, CASE WHEN len(kept0) > 0 THEN kept0 ELSE ls END AS kept FROM k)
 SELECT page_id, host, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(kept) AS BIGINT) AS n_dropped, coalesce(array_to_string(kept, chr(10)), '') AS kept_text FROM f
 """
+
+OP7_ALL_SQL = OP7_SQL.replace("count(*) >= 5", f"count(*) >= {LEAST_PAGES}").replace("CASE WHEN len(kept0) > 0 THEN kept0 ELSE ls END", "kept0")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from .decontaminate import OP1_SQL, op1_decontaminate
 from .fingerprint_index import OP8_SQL, op8_fingerprint_index
 from .licenses import OP10_SQL, op10_license_scan
-from .lines import OP7_SQL, op7_line_dedup
+from .lines import OP7_ALL_SQL, OP7_SQL, op7_line_dedup, op7_line_dedup_all
 from .merkle import op6_merkle_fingerprints
 from .mixing import OP4_SQL, op4_mix_sources
 from .pii import op5_personal_data
@@ -21,8 +21,9 @@ QUERIES = {
     "op5_personal_data": op5_personal_data,
     "op6_merkle_fingerprints": op6_merkle_fingerprints,
     "op7_line_dedup": op7_line_dedup,
+    "op7_line_dedup_all": op7_line_dedup_all,
     "op8_fingerprint_index": op8_fingerprint_index,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_license_scan": op10_license_scan,
 }
-ORACLES = {"op1_decontaminate": OP1_SQL, "op4_mix_sources": OP4_SQL, "op7_line_dedup": OP7_SQL, "op8_fingerprint_index": OP8_SQL, "op10_license_scan": OP10_SQL}
+ORACLES = {"op1_decontaminate": OP1_SQL, "op4_mix_sources": OP4_SQL, "op7_line_dedup": OP7_SQL, "op7_line_dedup_all": OP7_ALL_SQL, "op8_fingerprint_index": OP8_SQL, "op10_license_scan": OP10_SQL}

@@ -249,6 +249,17 @@ def test_lines_both_ways(spark):
     assert lines.drop_lines(docs.where("false")).count() == 0
 
 
+def test_all_boilerplate_goes(spark, tmp_path):
+    """Menus go from hosts of two pages, and pages of boilerplate only become empty."""
+    page = lambda *x: "<body><nav>menu</nav>" + "".join(f"<p>{t}</p>" for t in x) + "<footer>imprint</footer></body>"
+    rows = [(1, "http://two/a", page("one")), (2, "http://two/b", page("two")), (3, "http://one/", page("alone"))]
+    rows += [(10 + i, f"http://many/{i}", page(f"story {i}")) for i in range(30)] + [(50, "http://many/stub", page()), (51, "http://many/null", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.n_lines, r.n_dropped, r.kept_text) for r in lines.op7_line_dedup_all(spark, str(tmp_path)).collect()}
+    assert got[1] == (3, 2, "one") and got[2] == (3, 2, "two") and got[3] == (3, 0, "menu\nalone\nimprint")
+    assert got[50] == (2, 2, "") and all(got[10 + i] == (3, 2, f"story {i}") for i in range(30)) and len(got) == len(rows)
+
+
 def cut_words(rows):
     first, out = {}, []
     for i, t in rows:
