@@ -84,51 +84,70 @@ def _shingles(words: Column) -> Column:
     return F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice(words, i, SHINGLE), " ")))
 
 
-def _by_class(values: dict[int, Column], none: Column) -> Column:
-    out = none
-    for m, v in values.items():
-        out = F.when(F.col("m") == m, v).otherwise(out)
-    return out
+def _hashes(shingles: Column) -> Column:
+    return F.transform(shingles, lambda s: F.xxhash64(s))
+
+
+def _keys(m: Column, hashes: Column, bands: Column) -> Column:
+    """One number for each band: of the size class, the band, and the least hash in the band's order."""
+    least = lambda b: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b)))
+    some = F.when(bands > 0, F.sequence(F.lit(0), bands - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(some, lambda b: F.xxhash64(m, b, least(b)))
+
+
+def _short_keys(m: Column, hashes: Column) -> Column:
+    """One number for each shingle: of the size class, no band, and the hash."""
+    return F.transform(hashes, lambda h: F.xxhash64(m, F.lit(-1), h))
+
 
+def _windows(m: int, marked: list[str]) -> Column:
+    """Array of (m, word, words): the windows of one size class that hold one of its marked words; the column `words` has all words."""
+    half, n = m // 2, F.size("words")
+    last = F.floor((F.greatest(F.lit(1), n - half) - 1) / half).cast("int")
+    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(marked), i)), lambda i: i.isNotNull())
+    # the word at p lies in the windows that begin at half * (p / half - 2) to half * (p / half)
+    near = lambda p: F.sequence(F.greatest(F.lit(0), F.floor(p / half).cast("int") - 2), F.least(last, F.floor(p / half).cast("int")))
+    starts = F.array_distinct(F.flatten(F.transform(places, near)))
+    return F.transform(starts, lambda t: F.struct(F.lit(m).alias("m"), (t * half + 1).alias("word"), F.slice("words", t * half + 1, m + half).alias("words")))
 
-def _keys(bands: Column, few: Column) -> Column:
-    """(band, value) of the column `shingles`: the least hash of each band's order, and, as band -1, the hashes of those that are in `few`."""
-    none = F.array().cast("array<struct<band:int,value:bigint>>")
-    each = F.transform(F.sequence(F.lit(0), bands - 1), lambda b: F.struct(b.alias("band"), F.array_min(F.transform("shingles", lambda s: F.xxhash64(s, b))).alias("value")))
-    short = F.transform(F.array_intersect("shingles", few), lambda s: F.struct(F.lit(-1).alias("band"), F.xxhash64(s).alias("value")))
-    return F.concat(F.when(bands > 0, each).otherwise(none), short)
 
+def scan(documents: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES) -> DataFrame:
+    """(doc_id, template_id, containment, word): each template that a document holds, and where its best window begins.
 
-def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """(doc_id, template_id, containment, word): each template that a document holds, and where its best window begins."""
+    Templates are a dictionary or a table (template_id, text) of license texts, which goes to the driver; texts of fewer than five words are passed over.
+    """
     spark = documents.sparkSession
+    if isinstance(templates, DataFrame):
+        templates = {r[0]: r[1] or "" for r in templates.select("template_id", "text").where("template_id IS NOT NULL").collect()}
     words = {k: template_words(t) for k, t in templates.items()}
     rows = [(k, size_class(len(w)), w) for k, w in sorted(words.items()) if len(w) >= SHINGLE]
+    if not rows:
+        return documents.select("doc_id", F.lit("").alias("template_id"), F.lit(0.0).alias("containment"), F.lit(0).cast("bigint").alias("word")).where("false")
     grams = {k: {" ".join(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)} for k, _, w in rows}
-    bands, few = {}, {}
-    for k, m, _ in rows:
+    bands, marked = {}, {}
+    for k, m, w in rows:
         bands[m] = max(bands.get(m, 0), bands_needed(len(grams[k]), m))
-        few[m] = few.get(m, set()) | (grams[k] if len(grams[k]) <= FEW else set())
-    none = F.array().cast("array<string>")
-    known = spark.createDataFrame([(k, m, len(grams[k]) <= FEW, w) for k, m, w in rows], "template_id string, m int, short boolean, words array<string>")
-    known = known.select("template_id", "m", "short", _shingles(F.col("words")).alias("template")).withColumn("shingles", F.col("template"))
-    marked = sorted({x for _, _, w in rows for x in marked_words(w)})
+        marked[m] = sorted({*marked.get(m, ()), *marked_words(w)})
+    known = spark.createDataFrame([(k, m, len(grams[k]) <= FEW, bands[m], w) for k, m, w in rows], "template_id string, m int, short boolean, bands int, words array<string>")
+    known = known.select("template_id", "m", "short", "bands", _shingles(F.col("words")).alias("template"))
+    key = F.when(F.col("short"), _short_keys(F.col("m"), _hashes(F.col("template")))).otherwise(_keys(F.col("m"), _hashes(F.col("template")), F.col("bands")))
+    wanted = known.select("template_id", "template", F.explode(key).alias("key"))
+    wanted_keys = sorted({r[0] for r in wanted.select("key").collect()})
     lower, any_marked = F.lower("text"), F.lit(False)
-    for x in marked:
+    for x in sorted({x for some in marked.values() for x in some}):
         any_marked = any_marked | F.contains(lower, F.lit(x))
     docs = documents.select("doc_id", "text").where(any_marked)
-    docs = docs.select("doc_id", F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(WORD), F.lit(0)).alias("words")).where(F.size("words") >= SHINGLE)
-    sizes = F.explode(F.array(*[F.lit(m) for m in sorted({m for _, m, _ in rows})] or [F.lit(8)])).alias("m")
-    half = (F.col("m") / 2).cast("int")
-    windows = docs.select("doc_id", "words", sizes).select("doc_id", "m", "words", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("m") + half), half)).alias("word"))
-    windows = windows.select("doc_id", "m", "word", F.slice("words", F.col("word"), F.col("m") + half).alias("words"))
-    windows = windows.where(F.arrays_overlap("words", F.array(*[F.lit(x) for x in marked]) if marked else F.array().cast("array<string>")))
-    windows = windows.select("doc_id", "m", "word", _shingles(F.col("words")).alias("shingles")).where(F.size("shingles") > 0)
-    n_bands = _by_class({m: F.lit(n) for m, n in bands.items()}, F.lit(0))
-    wanted = known.withColumn("key", F.explode(_keys(F.when(F.col("short"), 0).otherwise(n_bands), F.when(F.col("short"), F.col("shingles")).otherwise(none)))).select("template_id", "m", "template", "key.*")
-    looked = _by_class({m: F.array(*[F.lit(x) for x in sorted(g)]) for m, g in few.items() if g}, none)
-    windows = windows.withColumn("key", F.explode(_keys(n_bands, looked))).select("doc_id", "m", "word", "shingles", "key.*")
-    pairs = windows.join(F.broadcast(wanted), ["m", "band", "value"])
+    docs = docs.select("doc_id", F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(WORD), F.lit(0)).alias("words"))
+    # windows are cut before they become rows, so that no row has more than its window
+    some = docs.select("doc_id", F.explode(F.concat(*[_windows(m, marked[m]) for m in sorted(bands)])).alias("w")).select("doc_id", "w.m", "w.word", _shingles(F.col("w.words")).alias("shingles"))
+    some = some.where(F.size("shingles") > 0).withColumn("hashes", _hashes(F.col("shingles")))
+    n_bands = F.element_at(F.create_map(*[F.lit(x) for m in sorted(bands) for x in (m, bands[m])]), F.col("m"))
+    with_short = sorted({m for k, m, _ in rows if len(grams[k]) <= FEW})
+    short = F.when(F.col("m").isin(with_short), _short_keys(F.col("m"), F.col("hashes"))).otherwise(F.array().cast("array<bigint>"))
+    # only keys that a template has become rows
+    keys = F.array_intersect(F.concat(_keys(F.col("m"), F.col("hashes"), n_bands), short), F.array(*[F.lit(k) for k in wanted_keys]))
+    pairs = some.withColumn("key", F.explode(keys)).select("doc_id", "word", "shingles", "key")
+    pairs = pairs.join(F.broadcast(wanted), "key")
     share = F.size(F.array_intersect("shingles", "template")) / F.size("template")
     pairs = pairs.select("doc_id", "template_id", F.round(share, 6).alias("containment"), (F.col("word") - 1).alias("word")).where(F.col("containment") >= CONTAINMENT)
     best = pairs.groupBy("doc_id", "template_id").agg(F.max(F.struct("containment", (-F.col("word")).alias("at"))).alias("b"))
