@@ -37,6 +37,20 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def numbered(df: DataFrame, *keep: str) -> DataFrame:
+    """The same columns by position: those of `keep` by their names, all others as c0, c1, ...
+
+    Operators that return whole rows work on this, so that no name of the caller's (with dots, or of a column of their own) is in the
+    way; `restored` gives the names back.
+    """
+    return df.toDF(*[c if c in keep else f"c{i}" for i, c in enumerate(df.columns)])
+
+
+def restored(df: DataFrame, docs: DataFrame, like: DataFrame, *more: str) -> DataFrame:
+    """The columns of `docs` (which is `like`, numbered) under their own names again, followed by the columns `more`."""
+    return df.select(*docs.columns, *more).toDF(*like.columns, *more)
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches into slices of about `limit` bytes of text (one row at least), with the texts as UTF-8; null is empty."""
     for batch in batches:
