@@ -3,14 +3,16 @@
 Sections are divided by empty lines, paragraphs by line ends; a piece ends after a word with a closing mark, or after three words.
 A leaf's hash covers the bytes of a piece, an inner node's the hashes of its children, with a tag for each level, so that
 the root (128 bits of BLAKE2b) tells whether texts are equal, and differing branches lead to the places of edits.
-The likeness of two trees is the share of leaves that they have in common (multiset Jaccard), 1 for equal roots.
+The likeness of two trees is the share of leaves that they have in common, repeats counted (multiset Jaccard), 1 for equal roots. It is found on the
+trees: branches with equal hashes share all their leaves and aren't entered, and only what lies below differing sections, and then below differing
+paragraphs, is compared. As equal branches take the same leaves from both sides, this is the likeness of the whole multisets.
 
 For `op6` each document needs the start of the next one. Documents are dealt by ranges of doc_id and sorted within; a task
 then sees nearly every document together with its next. Only a task's first and last document wait for the other
 tasks, and are paired in a second, small step. Texts are shuffled once.
 
 Nulls and edge cases: a null text is empty; an empty text has a tree without leaves, whose likeness is 1 to another of this kind and else 0;
-a null doc_id comes after all others; rows of the same doc_id follow each other by text; a single document is its own next.
+a null doc_id comes after all others; rows of the same doc_id follow each other by a hash of the text, then by text; a single document is its own next.
 """
 
 from __future__ import annotations
@@ -26,12 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, table, text_blocks
 
 #: Words of a piece without closing mark, and bytes of a hash.
 PIECE_WORDS, DIGEST = 3, 16
 
-Tree = tuple[bytes, list[tuple[bytes, list[tuple[bytes, list[bytes]]]]]]
+Paragraph = tuple[bytes, list[bytes]]
+Section = tuple[bytes, list[Paragraph]]
+Tree = tuple[bytes, list[Section]]
 
 
 def _hash(tag: bytes, data: bytes) -> bytes:
@@ -61,17 +65,38 @@ def tree(text: bytes) -> Tree:
     return _hash(b"\3", b"".join(s for s, _ in sections)), sections
 
 
-def leaves(t: Tree) -> Counter:
-    return Counter(leaf for _, paragraphs in t[1] for _, own in paragraphs for leaf in own)
+def _size(branch: Section | Paragraph) -> int:
+    """Leaves below a section or paragraph."""
+    return sum(_size(x) if isinstance(x, tuple) else 1 for x in branch[1])
+
+
+def _shared(a: list, b: list) -> tuple[int, list, list]:
+    """Leaves below the branches that both lists have, and the children of the branches that only one has."""
+    theirs = Counter(x[0] for x in b)
+    same, left = 0, []
+    for x in a:
+        if theirs[x[0]] > 0:
+            theirs[x[0]] -= 1
+            same += _size(x)
+        else:
+            left += x[1]
+    right = []
+    for y in b:
+        if theirs[y[0]] > 0:
+            theirs[y[0]] -= 1
+            right += y[1]
+    return same, left, right
 
 
 def likeness(a: Tree, b: Tree) -> float:
-    """Shared leaves by all leaves, repeats counted; 1 for equal roots."""
+    """Shared leaves by all leaves, repeats counted; 1 for equal roots. Only differing branches are entered."""
     if a[0] == b[0]:
         return 1.0
-    x, y = leaves(a), leaves(b)
-    shared = (x & y).total()
-    return shared / max(1, x.total() + y.total() - shared)
+    sections, x, y = _shared(a[1], b[1])
+    paragraphs, x, y = _shared(x, y)
+    shared = sections + paragraphs + (Counter(x) & Counter(y)).total()
+    total = sum(map(_size, a[1])) + sum(map(_size, b[1])) - shared
+    return shared / max(1, total)
 
 
 def edits(a: Tree, b: Tree) -> list[tuple[int, int]]:
@@ -101,11 +126,10 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs each document of a sorted task with the one after it; one more row carries the task's first and last document."""
     part = TaskContext.get().partitionId()
     first = last = None
-    for batch in batches:
+    for batch, texts in text_blocks(batches):
         rows = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            text = text or ""
-            own = tree(text.encode())
+        for doc_id, raw in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+            text, own = raw.decode(), tree(raw)
             if last is None:
                 first = text
             else:
@@ -118,21 +142,23 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [_pair(r["last_id"], r["last_text"], tree(r["last_text"].encode()), r["next_text"], tree(r["next_text"].encode())) for r in batch.to_pylist()]
-        yield pa.RecordBatch.from_pylist(rows, _RESULT)
+        for r in batch.to_pylist():
+            row = _pair(r["last_id"], r["last_text"], tree(r["last_text"].encode()), r["next_text"], tree(r["next_text"].encode()))
+            yield pa.RecordBatch.from_pylist([row], _RESULT)
 
 
 def fingerprint_pairs(documents: DataFrame) -> DataFrame:
     """Fingerprints of every document and of its edited text, with likenesses."""
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
-    rows = documents.select(F.col("doc_id").cast("bigint"), "text").repartitionByRange(order[0]).sortWithinPartitions(*order)
+    rows = documents.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("h"))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("h").asc()]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, F.col("text").asc_nulls_first()).select("doc_id", "text")
     found = materialize(rows.mapInArrow(_walk, f"{_RESULT_DDL}, part bigint, first_text string, last_text string, last_id bigint"), "pairs")
-    # one row for each task: the window spans as many rows as there were tasks
+    # which task comes next: the window sees one number for each task, and the texts are joined by it
     ends = found.where("part IS NOT NULL").select("part", "last_id", "last_text", "first_text")
-    after = W.orderBy("part")
-    top = F.first("first_text").over(after.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    ends = ends.withColumn("next_text", F.coalesce(F.lead("first_text").over(after), top)).drop("first_text", "part")
-    return found.where("part IS NULL").select(*_RESULT.names).unionByName(ends.mapInArrow(_ends, _RESULT_DDL))
+    after, every = W.orderBy("part"), W.orderBy("part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    following = ends.select("part", F.coalesce(F.lead("part").over(after), F.first("part").over(every)).alias("next"))
+    ends = ends.join(following, "part").select("next", "last_id", "last_text").join(ends.select(F.col("part").alias("next"), F.col("first_text").alias("next_text")), "next")
+    return found.where("part IS NULL").select(*_RESULT.names).unionByName(ends.select("last_id", "last_text", "next_text").mapInArrow(_ends, _RESULT_DDL))
 
 
 def fingerprint(documents: DataFrame) -> DataFrame:
