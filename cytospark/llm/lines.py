@@ -1,14 +1,13 @@
 """Line dedup by site-relative frequency, in DataFrame functions only.
 
-A line is boilerplate of a host if more than `RATIO` of the host's pages contain it, and at least `MIN_PAGES` do. Pages are
+A line is boilerplate of a host if more than `RATIO` of the host's pages contain it, and `MIN_PAGES` do, two, as a line of a single page doesn't repeat. Pages are
 counted by host and MD5 of the trimmed line, with partial sums before the shuffle. A host has at most as
 many boilerplate lines as a page of it has lines on average, divided by RATIO, so the list is short; if it is under `BROADCAST_BYTES`,
 it goes to all executors and the texts are never shuffled, else lines and texts are joined by page.
 
 Nulls and edge cases: a null text stays null and an empty one empty; blank lines are neither counted nor dropped; a page counts
-once for a line that it repeats; a null host is a host of its own; with `keep_whole` a page that would lose all its lines keeps them, as it is a copy rather
-than a page around boilerplate; repeated rows count as pages of their own. `op7_line_dedup_all` has no such exemption and a floor of two pages:
-every line over the ratio goes.
+once for a line that it repeats; a null host is a host of its own; a page of nothing but boilerplate becomes empty, unless the caller asks with `keep_whole` that
+pages that would lose all their lines keep them (the pipeline does, as there they are copies, which a later stage sees to); repeated rows count as pages of their own.
 """
 
 from __future__ import annotations
@@ -16,11 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, numbered, restored, table
 
-RATIO, MIN_PAGES = 0.1, 5
-#: Fewest pages on which a line can repeat.
-LEAST_PAGES = 2
+RATIO, MIN_PAGES = 0.1, 2
 #: Largest list of boilerplate lines, at 150 bytes each, that goes to all executors.
 BROADCAST_BYTES, LINE_BYTES = 16_000_000, 150
 
@@ -42,7 +39,7 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
     return counts.join(totals, "host_key").where(F.col("n") > F.col("pages") * ratio).select("host_key", "line_key")
 
 
-def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_bytes: int = BROADCAST_BYTES, keep_whole: bool = True) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_bytes: int = BROADCAST_BYTES, keep_whole: bool = False) -> DataFrame:
     """`pages` with `__lines` (all lines) and `__kept` (without the boilerplate of the host)."""
     pages = pages.withColumn("host_key", F.concat(F.when(host.isNull(), "-").otherwise("+"), F.coalesce(host, F.lit("")))).withColumn("lines", lines)
     found = materialize(boilerplate(pages.select("host_key", "lines"), ratio, min_pages), "boilerplate")
@@ -62,13 +59,12 @@ def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float
     return out.withColumn("__lines", F.col("lines")).withColumn("__kept", F.when(whole, F.col("kept")).otherwise(F.col("lines"))).drop("lines", "kept", "drop", "host_key")
 
 
-def drop_lines(documents: DataFrame) -> DataFrame:
+def drop_lines(documents: DataFrame, keep_whole: bool = False) -> DataFrame:
     """The documents, same columns, without the boilerplate lines of their source."""
-    docs = documents.select(*[F.col(c).alias(f"d_{i}") for i, c in enumerate(documents.columns)])
-    name = {c: f"d_{i}" for i, c in enumerate(documents.columns)}
-    out = drop_boilerplate(docs, F.col(name["source"]), F.split(name["text"], "\n", -1))
-    text = F.when(F.col(name["text"]).isNotNull(), F.array_join("__kept", "\n"))
-    return out.select(*[(text if c == "text" else F.col(i)).alias(c) for c, i in name.items()])
+    docs = numbered(documents, "source", "text")
+    out = drop_boilerplate(docs, F.col("source"), F.split("text", "\n", -1), keep_whole=keep_whole)
+    out = out.withColumn("text", F.when(F.col("text").isNotNull(), F.array_join("__kept", "\n")))
+    return restored(out, docs, documents)
 
 
 def html_lines(html: Column) -> Column:
@@ -83,17 +79,8 @@ def host_of(url: Column) -> Column:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with its host, lines, dropped lines and the text that is kept."""
-    return _deduplicated(spark, sf_dir, MIN_PAGES, True)
-
-
-def op7_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every line over the ratio dropped, on hosts of two pages and on pages of boilerplate only too."""
-    return _deduplicated(spark, sf_dir, LEAST_PAGES, False)
-
-
-def _deduplicated(spark: SparkSession, sf_dir: str, min_pages: int, keep_whole: bool) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "html", host_of(F.col("url")).alias("host"))
-    out = drop_boilerplate(pages, F.col("host"), html_lines(F.col("html")), min_pages=min_pages, keep_whole=keep_whole)
+    out = drop_boilerplate(pages, F.col("host"), html_lines(F.col("html")))
     n = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)).cast("bigint")
     return out.select("page_id", "host", n("__lines").alias("n_lines"), (n("__lines") - n("__kept")).alias("n_dropped"), F.array_join("__kept", "\n").alias("kept_text"))
 
@@ -105,11 +92,9 @@ WITH p AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*:/
     '(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|hr|tr|td|th|table|article|section|nav|header|footer|main|aside|title|head|body|html)\b[^>]*>', chr(10), 'g'),
     '<[^>]*>', '', 'g'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS ls FROM pages),
 n AS (SELECT host, count(*) AS pages FROM p GROUP BY 1),
-b AS (SELECT host, line FROM (SELECT host, unnest(list_distinct(ls)) AS line FROM p) JOIN n USING (host) GROUP BY host, line, pages HAVING count(*) >= 5 AND count(*) > pages * 0.1::DOUBLE),
+b AS (SELECT q.host, line FROM (SELECT host, unnest(list_distinct(ls)) AS line FROM p) q JOIN n ON q.host IS NOT DISTINCT FROM n.host GROUP BY q.host, line, pages HAVING count(*) >= 2 AND count(*) > pages * 0.1::DOUBLE),
 bl AS (SELECT host, list(line) AS gone FROM b GROUP BY 1),
-k AS (SELECT page_id, p.host, ls, CASE WHEN gone IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(gone, x)) END AS kept0 FROM p LEFT JOIN bl ON p.host = bl.host),
-f AS (SELECT page_id, host, ls, CASE WHEN len(kept0) > 0 THEN kept0 ELSE ls END AS kept FROM k)
-SELECT page_id, host, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(kept) AS BIGINT) AS n_dropped, coalesce(array_to_string(kept, chr(10)), '') AS kept_text FROM f
+k AS (SELECT page_id, p.host, ls, CASE WHEN gone IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(gone, x)) END AS kept FROM p LEFT JOIN bl ON p.host IS NOT DISTINCT FROM bl.host)
+SELECT page_id, host, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(ls) - len(kept), 0) AS BIGINT) AS n_dropped,
+  CASE WHEN ls IS NOT NULL THEN coalesce(array_to_string(kept, chr(10)), '') END AS kept_text FROM k
 """
-
-OP7_ALL_SQL = OP7_SQL.replace("count(*) >= 5", f"count(*) >= {LEAST_PAGES}").replace("CASE WHEN len(kept0) > 0 THEN kept0 ELSE ls END", "kept0")
