@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_LOWER, Rolling, byte_symbols, join_texts, table, text_blocks, words_of
+from .common import ALNUM_LOWER, Rolling, byte_symbols, join_texts, numbered, restored, table, text_blocks, words_of
 
 #: Words of a window; an item of fewer is one window.
 WINDOW = 13
@@ -66,14 +66,14 @@ class Queries(NamedTuple):
     head: int
 
 
-def _head_keys(sequence: np.ndarray, n: int) -> np.ndarray:
-    """For each position but the last n - 1, the n word numbers from there as one; -1 with an unknown word."""
+def _head_keys(sequence: np.ndarray, n: int, base: int) -> np.ndarray:
+    """For each position but the last n - 1, the n word numbers (below `base` - 1) from there as one; -1 with an unknown word."""
     size = len(sequence) - n + 1
     key, known = np.zeros(max(size, 0), np.int64), np.ones(max(size, 0), bool)
     for i in range(n if size > 0 else 0):
         part = sequence[i : i + size]
         known &= part >= 0
-        key = key * 2_097_152 + (part + 1)
+        key = key * base + (part + 1)
     return np.where(known, key, -1)
 
 
@@ -102,8 +102,9 @@ def prepare(items: list[tuple[object, str | None]], window: int = WINDOW) -> Que
             item_of.append(np.full(len(here), i))
             lengths.append(np.full(len(here), size))
     at, item_of, lengths = map(np.concatenate, (at, item_of, lengths))
-    head = int(min(HEAD, lengths.min()))
-    heads = np.unique(_head_keys(np.concatenate((sequence, np.full(head, -1))), head)[at])
+    # as many first words as one integer holds
+    head = int(min(HEAD, lengths.min(), 62 // (len(vocabulary) + 1).bit_length()))
+    heads = np.unique(_head_keys(np.concatenate((sequence, np.full(head, -1))), head, len(vocabulary) + 1)[at])
     return Queries(vocabulary, hashes[order], order, np.concatenate((sequence, np.full(window, -1))), item_of, at, lengths, ids, before[:-1], heads, head)
 
 
@@ -131,7 +132,7 @@ def search_block(q: Queries, texts: list[bytes], window: int = WINDOW) -> tuple[
     sequence = np.full(len(starts) + len(texts) + window, -1, np.int64)
     slot = np.arange(len(starts)) + doc_of
     sequence[slot[maybe[same]]] = q.numbers[place[same]]
-    keys = _head_keys(sequence, q.head)
+    keys = _head_keys(sequence, q.head, len(q.vocabulary) + 1)
     found = np.minimum(np.searchsorted(q.heads, keys), len(q.heads) - 1)
     suffixes = np.flatnonzero((keys >= 0) & (q.heads[found] == keys))
     suffixes = suffixes[suffixes < len(starts) + len(texts)]
@@ -238,10 +239,11 @@ def longest_matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns, without those that are contaminated."""
-    found = find_matches(documents, benchmark)
+    docs = numbered(documents, "doc_id", "text")
+    found = find_matches(docs, benchmark)
     hit_words = F.size(F.array_distinct(F.flatten(F.transform("__hits", lambda h: F.sequence(h["doc_word"], h["doc_word"] + h["n_words"] - 1)))))
     n_hit = F.when(F.size("__hits") > 0, hit_words).otherwise(0)
-    return found.where(~((n_hit > 0) & (F.lit(ONE_IN) * n_hit >= F.col("__n_words")))).select(*documents.columns)
+    return restored(found.where(~((n_hit > 0) & (F.lit(ONE_IN) * n_hit >= F.col("__n_words")))), docs, documents)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

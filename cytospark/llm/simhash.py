@@ -4,8 +4,8 @@ Two fingerprints that differ in at most 4 of 64 bits agree in at least two of si
 fingerprint goes to 15 shards, one for each pair of blocks, named by the bits of the two blocks; every link shows up
 in one shard at least. Each shard has a BK-tree: the children of a node are keyed by their Hamming distance to it, and a search
 follows only the edges whose key is within the radius of the query's own distance. Trees are built where their shard
-is, so none is sent to all executors. A shard of more than `SHARD` fingerprints is dealt into chunks by hash,
-and each pair of chunks is a task's group of its own: the tree of one, searched with the other.
+is, so none is sent to all executors. The fingerprints of shards of more than `SHARD` are dealt again, to 70 shards by four of eight blocks;
+what is still too large is dealt into chunks by hash, and each pair of chunks is a task's group of its own: the tree of one, searched with the other.
 
 A group gives a spanning forest of its links and not all pairs; `components` joins the forests. Exact copies share one
 fingerprint and enter once.
@@ -27,16 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, table, text_blocks
+from .common import materialize, numbered, restored, table, text_blocks
 from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
-#: Widths of the blocks of bits; RADIUS changed bits leave two of six blocks as they are.
-BLOCKS = (11, 11, 11, 11, 10, 10)
+#: Widths of the blocks of bits: RADIUS changed bits leave two of six blocks as they are, and four of eight.
+LEVELS = ((11, 11, 11, 11, 10, 10), (8,) * 8)
 #: Fingerprints of a shard, or of a chunk of a large shard.
 SHARD = 512
-#: Fingerprints without an id of their own stand behind all others in a component.
-NO_ID = 1 << 62
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -107,8 +105,8 @@ class BKTree:
                         todo.append(child)
 
 
-def shard_links(values: list[int], nodes: list[int], chunks: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
-    """A spanning forest, as (node, smallest node of its tree), of the links in a shard or between its two chunks."""
+def shard_links(values: list[int], chunks: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
+    """A spanning forest, as (fingerprint, least of its tree), of the links in a shard or between its two chunks."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -119,25 +117,25 @@ def shard_links(values: list[int], nodes: list[int], chunks: list[int], radius:
 
     tree, first = BKTree(), min(chunks)
     one = first == max(chunks)
-    for value, node, chunk in sorted(zip(values, nodes, chunks, strict=True), key=lambda x: (x[2], x[1])):
-        mine = root(node)
+    for chunk, value in sorted(zip(chunks, values, strict=True)):
+        mine = root(value)
         for other in tree.within(value & (2**64 - 1), radius):
             theirs = root(other)
             if theirs != mine:
                 low, high = min(mine, theirs), max(mine, theirs)
                 parent[high] = mine = low
         if one or chunk == first:
-            tree.insert(value & (2**64 - 1), node)
+            tree.insert(value & (2**64 - 1), value)
     return [(n, r) for n in set(parent) if (r := root(n)) != n]
 
 
 def _link_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group; a group may go on in the next batch."""
     rest: list[tuple] = []
-    names = ("k", "v", "a", "b", "fp", "node", "chunk")
+    names = ("k", "v", "a", "b", "fp", "chunk")
 
     def flush(group: list[tuple]) -> list[tuple[int, int]]:
-        return shard_links([r[4] for r in group], [r[5] for r in group], [r[6] for r in group]) if len(group) > 1 else []
+        return shard_links([r[4] for r in group], [r[5] for r in group]) if len(group) > 1 else []
 
     def out(links: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["u", "v"])
@@ -153,45 +151,53 @@ def _link_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(flush(rest))
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """Links (u, v) that connect all fingerprints of `nodes` (fp, node) within the radius; fingerprints are distinct."""
-    starts = np.cumsum((0, *BLOCKS))
-    masks = [sum(((1 << BLOCKS[i]) - 1) << int(starts[i]) for i in pair) for pair in combinations(range(len(BLOCKS)), 2)]
+def _shards(prints: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+    """(k, v, fp): each fingerprint under the bits v of every choice k of blocks of which links agree in one at least."""
+    starts = np.cumsum((0, *widths))
+    masks = [sum(((1 << widths[i]) - 1) << int(starts[i]) for i in some) for some in combinations(range(len(widths)), len(widths) - RADIUS)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     shard = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(signed)])).alias("s")
-    rows = nodes.select("fp", "node", shard).select("s.k", "s.v", "fp", "node")
-    sizes = materialize(rows.groupBy("k", "v").count().where("count > 1"), "shards")
+    return prints.select("fp", shard).select("s.k", "s.v", "fp")
+
+
+def _search(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Links within the shards of `sizes` (k, v, count), large ones by pairs of chunks."""
     rows = rows.join(sizes, ["k", "v"]).withColumn("n", F.ceil(F.col("count") / SHARD).cast("int"))
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("fp", "k"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    rows = rows.select("k", "v", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "fp", "node", "chunk")
+    rows = rows.select("k", "v", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "fp", "chunk")
     group = ["k", "v", "a", "b"]
     return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(_link_groups, "u bigint, v bigint")
 
 
+def links(prints: DataFrame, levels: tuple[tuple[int, ...], ...] = LEVELS) -> DataFrame:
+    """Links (u, v) that connect all fingerprints of `prints` (fp, distinct) within the radius."""
+    found, rest = [], prints
+    for level, widths in enumerate(levels):
+        rows = _shards(rest, widths)
+        sizes = materialize(rows.groupBy("k", "v").count().where("count > 1"), "shards")
+        large = sizes.where(F.col("count") > SHARD)
+        if level + 1 == len(levels) or large.isEmpty():
+            found.append(_search(rows, sizes))
+            break
+        found.append(_search(rows, sizes.where(F.col("count") <= SHARD)))
+        rest = materialize(rows.join(large, ["k", "v"], "left_semi").select("fp").distinct(), "crowded")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def _linked(documents: DataFrame) -> DataFrame:
-    """(doc_id, fp, component, component_id) of every document; `component` tells components apart, also those of the same component_id."""
+    """(doc_id, fp, component, component_id) of every document; `component` is its least fingerprint, `component_id` the smallest doc_id."""
     prints = materialize(fingerprints(documents), "fingerprints")
     firsts = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
-    # a doc_id names one fingerprint; another with the same smallest doc_id, like one without, is named by its own bits
-    shared = firsts.where("first IS NOT NULL").groupBy("first").agg(F.min("fp").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = materialize(shared.select("first", "owner"), "shared")
-    own = F.lit(NO_ID) + F.shiftrightunsigned(F.col("fp"), 2)
-    if shared.limit(1).count():
-        named = firsts.where("first IS NOT NULL").join(shared, "first", "left").select("fp", "first", F.when(F.coalesce("owner", "fp") == F.col("fp"), F.col("first")).otherwise(own).alias("node"))
-        nodes = named.unionByName(firsts.where("first IS NULL").select("fp", "first", own.alias("node")))
-    else:
-        nodes = firsts.select("fp", "first", F.coalesce("first", own).alias("node"))
-    nodes = materialize(nodes, "nodes")
-    roots = components(links(nodes))
-    labels = nodes.join(roots.withColumnRenamed("u", "node"), "node", "left").select("fp", "first", F.coalesce("root", "node").alias("component"))
-    by_node = F.when(F.col("component") < NO_ID, F.col("component"))
-    if shared.limit(1).count():
-        labels = materialize(labels, "components")
-        low = labels.groupBy("component").agg(F.min("first").alias("low")).where("low <> component")
-        labels = labels.join(low, "component", "left").select("fp", "component", F.coalesce("low", by_node).alias("component_id"))
-    else:
-        labels = labels.select("fp", "component", by_node.alias("component_id"))
-    return prints.join(materialize(labels, "labels"), "fp").select("doc_id", "fp", "component", "component_id")
+    roots = components(links(firsts.select("fp"))).withColumnRenamed("u", "fp")
+    labels = materialize(firsts.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("component")), "labels")
+    smallest = labels.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    # most components are one fingerprint, whose smallest doc_id is known
+    joined = materialize(smallest.where("n > 1").select("component", "component_id"), "smallest")
+    labels = labels.join(joined, "component", "left").select("fp", "component", F.coalesce("component_id", "first").alias("component_id"))
+    return prints.join(labels, "fp").select("doc_id", "fp", "component", "component_id")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -205,18 +211,20 @@ def keep_one(documents: DataFrame) -> DataFrame:
     Where a component has its smallest doc_id more than once, the row of the smallest fingerprint (as a signed integer) stays; of rows that share
     this too, any one. Rows of the same doc_id in different components are kept or dropped each for itself.
     """
-    found = materialize(_linked(documents), "components")
+    docs = numbered(documents, "doc_id", "text")
+    found = materialize(_linked(docs), "components")
     drop = found.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id")
     repeated = materialize(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    # the same plan at every size: texts are dealt by doc_id, and the small side is hashed
+    # the same plan at every size: texts are dealt by doc_id, and the small side is hashed; rows without id stay where they are
+    gone = drop.union(repeated).distinct().hint("shuffle_hash")
+    once = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
     if not repeated.limit(1).count():
-        return documents.join(drop.distinct().hint("shuffle_hash"), "doc_id", "left_anti").select(*documents.columns)
-    once = documents.join(drop.union(repeated).distinct().hint("shuffle_hash"), "doc_id", "left_anti").select(*documents.columns)
-    again = documents.join(repeated.hint("shuffle_hash"), "doc_id", "left_semi").select(*documents.columns)
+        return restored(once, docs, documents)
+    again = docs.join(repeated.hint("shuffle_hash"), "doc_id", "left_semi").select(*docs.columns)
     again = again.mapInArrow(_with_print, T.StructType([*again.schema.fields, T.StructField("__fp", T.LongType())]))
     best = found.where("doc_id = component_id").groupBy("component").agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("__fp")).select("doc_id", "__fp")
     again = again.join(best, ["doc_id", "__fp"], "left_semi").dropDuplicates(["doc_id", "__fp"])
-    return once.unionByName(again.select(*documents.columns))
+    return restored(once.unionByName(again.select(*docs.columns)), docs, documents)
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

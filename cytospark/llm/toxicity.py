@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM_LOWER, Rolling, byte_symbols, join_texts, materialize, mix, table, text_blocks, words_of
+from .common import ALNUM_LOWER, Rolling, byte_symbols, join_texts, materialize, mix, numbered, restored, table, text_blocks, words_of
 
 #: The most labelled documents that the fit looks at.
 SAMPLE = 20_000
@@ -182,8 +182,9 @@ def severity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def remove_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, all columns, without those that the model rejects."""
-    out = score(documents, fit(labelled_features(documents, labels)), documents.columns)
-    return out.where(F.col("__p_toxic") < CUTOFF).select(*documents.columns)
+    docs = numbered(documents, "doc_id", "text")
+    out = score(docs, fit(labelled_features(docs, labels)), docs.columns)
+    return restored(out.where(F.col("__p_toxic") < CUTOFF), docs, documents)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
