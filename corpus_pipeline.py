@@ -1,7 +1,7 @@
 """A training corpus from raw documents, in five stages.
 
 1. toxicity: documents that the ordinal model rejects go.
-2. lines: lines on more than a tenth of a source's documents go; no document goes.
+2. lines: lines on more than a tenth of a source's documents go, except from documents of nothing else; no document goes.
 3. near duplicates: of documents whose SimHash fingerprints are linked, the one of the smallest doc_id stays.
 4. decontamination: documents with a twentieth of their words in benchmark windows go.
 5. mixing: sources get near their target weights; `copies` says how often a document is taken, and documents that aren't taken go.
@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return lines.drop_lines(docs)
+    return lines.drop_lines(docs, keep_whole=True)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
