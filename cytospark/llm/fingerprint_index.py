@@ -1,10 +1,12 @@
 """Incremental substring dedup with a log-structured index of window fingerprints.
 
-Documents come in batches, by doc_id. The index is a list of runs: immutable files of the fingerprints of one batch (see `repeats`: the
-anchor's hash, the hash of the windows' text, the first document), sorted by hash. The fingerprints of a new batch are
-merged with those of the runs in the order of the hash; equal ones are repeats, and where only the anchor
-agrees, the windows themselves are verified one by one. Then the batch's own run is added, and when there are
-more than `MAX_RUNS`, they are merged into one with a row for each fingerprint.
+Documents come in batches, by doc_id. The index is a folder with a list of runs: immutable tables of the fingerprints of one batch (see `repeats`: the
+anchor's hash g, the hash s of the windows' text, the first document), bucketed by g and sorted by (g, s). A batch becomes a run first,
+which is its only shuffle; then its buckets are merge-joined with the same buckets of each older run, which stay where they are. Equal (g, s) are repeats;
+where only the anchor agrees, the windows themselves are verified one by one, from the documents' words. When there are more than `MAX_RUNS` runs,
+the oldest two are merge-joined into one with a row for each fingerprint, bucket by bucket, also without a shuffle.
+
+Each change of the list of runs is a new small file, so that an index that is opened again sees all runs of finished batches and nothing of others.
 
 Contract of the query: words are what white space (space, U+0009 to U+000D) divides; a word goes if a window of 13 consecutive words
 covers it whose sequence also starts in a document with a smaller doc_id. Repeats within one document stay.
@@ -16,61 +18,131 @@ alone; texts of fewer than 13 words have no windows; an empty table gives no row
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import drop_path, materialize, scratch, table, text_blocks
-from .repeats import PLAIN, Spec, by_document, covered_units, finish, keyed_documents, run_rows, settle
+from .repeats import COVERED, OPEN, PLAIN, Spec, by_document, covered_units, finish, first_of_name, is_covered, is_late, keyed_documents, known, run_rows
 
 #: 13 words, anchored by 5; only other documents count.
 SPEC = Spec(n=13, k=5, words=True, within=False)
 #: Runs that the index has before they are compacted.
-MAX_RUNS = 4
-#: The query takes the documents in batches that end at these shares of the doc_ids.
-BATCH_ENDS = (0.1, 0.25)
+MAX_RUNS = 3
+#: The query takes the documents in so many batches of about equal size.
+BATCHES = 5
+_SCHEMA = "g BIGINT, s BIGINT, key BIGINT, kind TINYINT"
+
+
+@contextmanager
+def _merging(spark: SparkSession) -> Iterator[None]:
+    """Lets Spark join tables that are bucketed by g and sorted by (g, s) by both without moving or sorting them."""
+    wanted = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 class FingerprintIndex:
-    """Sorted runs of fingerprints in the shared folder."""
-
-    def __init__(self, spark: SparkSession, spec: Spec = SPEC, max_runs: int = MAX_RUNS):
-        self.spark, self.spec, self.max_runs = spark, spec, max_runs
-        self.runs: list[str] = []
+    """Sorted, bucketed runs of fingerprints in a folder that all executors share.
 
-    def _write(self, rows: DataFrame) -> None:
-        path = scratch(self.spark, "run")
-        rows.repartition("g").sortWithinPartitions("g", "s", "key").write.parquet(path)
-        self.runs.append(path)
+    An index is opened again by giving its folder. The number of buckets is that of Spark's shuffle partitions when it was made.
+    """
 
-    def history(self) -> DataFrame | None:
-        return self.spark.read.parquet(*self.runs) if self.runs else None
+    def __init__(self, spark: SparkSession, folder: str | None = None, spec: Spec = SPEC, max_runs: int = MAX_RUNS):
+        self.spark, self.spec, self.max_runs = spark, spec, max_runs
+        self.folder = folder or scratch(spark, "index")
+        self.runs, self.buckets, self.version = [], int(spark.conf.get("spark.sql.shuffle.partitions")), 0
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/runs-*/_SUCCESS")
+        done = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        versions = [int(f.getPath().getParent().getName().removeprefix("runs-")) for f in done]
+        if versions:
+            self.version = max(versions)
+            state = spark.read.schema("buckets int, runs array<string>").json(f"{self.folder}/runs-{self.version}").first()
+            self.buckets, self.runs = state.buckets, list(state.runs)
+
+    def _commit(self, runs: list[str]) -> None:
+        self.version += 1
+        state = self.spark.createDataFrame([(self.buckets, runs)], "buckets int, runs array<string>")
+        state.coalesce(1).write.json(f"{self.folder}/runs-{self.version}")
+        self.runs = runs
+
+    def _write(self, rows: DataFrame) -> str:
+        """A new run; `rows` are dealt by g to as many tasks as there are buckets."""
+        name = f"run-{uuid.uuid4().hex}"
+        table_ = f"cytospark_{name.replace('-', '_')}"
+        rows.write.bucketBy(self.buckets, "g").sortBy("g", "s", "key").option("path", f"{self.folder}/{name}").saveAsTable(table_)
+        self.spark.sql(f"DROP TABLE {table_}")  # the files stay
+        return name
+
+    def run(self, name: str) -> DataFrame:
+        """The rows of a run, known to Spark as bucketed and sorted."""
+        table_ = f"cytospark_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+        self.spark.sql(f"CREATE TABLE {table_} ({_SCHEMA}) USING parquet CLUSTERED BY (g) SORTED BY (g, s, key) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{name}'")
+        out = self.spark.table(table_)
+        self.spark.sql(f"DROP TABLE {table_}")
+        return out
+
+    def _old(self, name: str) -> DataFrame:
+        """(g, s, key): the fingerprints of documents with an id of an older run."""
+        return self.run(name).where(F.col("kind") == PLAIN).select("g", "s", "key")
+
+    def compare(self, name: str) -> DataFrame:
+        """Repeats between the run and all older ones, as (late, key, s, kind) of `repeats.settle`. No run is moved."""
+        every = W.partitionBy("g")
+        rows = self.run(name).withColumn("first", first_of_name()).withColumn("low", F.min("s").over(every)).withColumn("high", F.max("s").over(every))
+        spread, groups, seen = [F.struct("low", "high")], self.run(name).where(known() == PLAIN).groupBy("g").agg(F.min("s").alias("low"), F.max("s").alias("high")), F.lit(False)
+        for i, old in enumerate(self.runs):
+            names = self._old(old).groupBy("g", "s").agg(F.min("key").alias(f"old_{i}"))
+            theirs = self._old(old).groupBy("g").agg(F.min("s").alias(f"low_{i}"), F.max("s").alias(f"high_{i}"))
+            rows = rows.join(names.hint("merge"), ["g", "s"], "left").join(theirs.hint("merge"), "g", "left")
+            groups = groups.join(theirs.hint("merge"), "g", "left")
+            spread.append(F.struct(F.col(f"low_{i}").alias("low"), F.col(f"high_{i}").alias("high")))
+            seen = seen | (F.col(f"old_{i}").isNotNull() & (is_late() | (F.col("key") > F.col(f"old_{i}"))))
+        # least and greatest pass over nulls
+        several = F.least(*[x["low"] for x in spread], F.col("low")) != F.greatest(*[x["high"] for x in spread], F.col("high"))
+        kind = F.when(known() != PLAIN, known()).when(seen | is_covered(F.col("first")), F.lit(COVERED)).when(several, F.lit(OPEN))
+        found = rows.select(is_late().alias("late"), "key", "s", kind.cast("tinyint").alias("kind")).where("kind IS NOT NULL")
+        opened = groups.where(several).select("g")
+        for old in self.runs:  # the windows of older documents at the same anchors are needed, too
+            again = self._old(old).join(opened.hint("merge"), "g", "left_semi").groupBy("g", "s").agg(F.min("key").alias("key"))
+            found = found.unionByName(again.select(F.lit(False).alias("late"), "key", "s", F.lit(OPEN).cast("tinyint").alias("kind")))
+        return found
 
-    def add(self, batch: DataFrame, keep: bool = True) -> DataFrame:
-        """Repeats between the batch and all before it, as (key, s, kind) of `settle`; with `keep`, the batch joins the index.
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Repeats between the batch and all before it, as (late, key, s, kind), written out; the batch joins the index.
 
         Documents of the batch must not be smaller than those of earlier batches.
         """
-        rows, history = run_rows(self.spec, keyed_documents(batch)), self.history()
-        found = settle(rows if history is None else rows.unionByName(history))
-        if keep:
-            found = materialize(found, "found")
-            self._write(rows.where(F.col("kind") == PLAIN))
-            if len(self.runs) > self.max_runs:
-                self.compact()
+        name = self._write(run_rows(self.spec, keyed_documents(batch)).repartition(self.buckets, "g"))
+        with _merging(self.spark):
+            found = materialize(self.compare(name), "found")
+        self._commit([*self.runs, name])
+        while len(self.runs) > max(1, self.max_runs):
+            self.compact()
         return found
 
     def compact(self) -> None:
-        """Merge all runs into one, with the first document of each fingerprint."""
-        old = self.runs
-        merged = self.history().groupBy("g", "s").agg(F.min("key").alias("key")).withColumn("kind", F.lit(PLAIN).cast("tinyint"))
-        self.runs = []
-        self._write(merged.select("g", "s", "key", "kind"))
-        for path in old:
-            drop_path(self.spark, path)
+        """Merge the oldest two runs into one, with the first document of each fingerprint."""
+        one, two = (self._old(r).groupBy("g", "s").agg(F.min("key").alias("key")) for r in self.runs[:2])
+        with _merging(self.spark):
+            both = one.join(two.withColumnRenamed("key", "other").hint("merge"), ["g", "s"], "full")
+            name = self._write(both.select("g", "s", F.least("key", "other").alias("key"), F.lit(PLAIN).cast("tinyint").alias("kind")))
+        old = self.runs[:2]
+        self._commit([name, *self.runs[2:]])
+        for run in old:
+            drop_path(self.spark, f"{self.folder}/{run}")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +155,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_words.append(last - first)
             n_removed.append(last - first - len(keep))
             digests.append(hashlib.sha256(b" ".join([raw[a:b] for a, b in zip(r.starts[keep].tolist(), r.ends[keep].tolist(), strict=True)])).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests)], ["key", "n_words", "n_removed", "kept_sha256"])
+        yield pa.RecordBatch.from_arrays([batch.column("late"), batch.column("key"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests)], ["late", "key", "n_words", "n_removed", "kept_sha256"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,26 +165,24 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last in zip(r.first.tolist(), r.last.tolist(), strict=True):
             keep = first + np.flatnonzero(~gone[first:last])
             kept.append(b" ".join([raw[a:b] for a, b in zip(r.starts[keep].tolist(), r.ends[keep].tolist(), strict=True)]).decode())
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(kept, pa.string())], ["key", "kept_text"])
+        yield pa.RecordBatch.from_arrays([batch.column("late"), batch.column("key"), pa.array(kept, pa.string())], ["late", "key", "kept_text"])
 
 
-def find_repeats(documents: DataFrame, batch_ends: tuple[float, ...] = BATCH_ENDS) -> DataFrame:
-    """(key, covered, open) of all documents, batch by batch through an index."""
-    index = FingerprintIndex(documents.sparkSession)
-    ends = documents.select(F.percentile_approx(F.col("doc_id").cast("bigint"), list(batch_ends), 10000)).first()[0] if batch_ends else []
-    key, low, found = F.col("doc_id").cast("bigint"), None, []
+def find_repeats(documents: DataFrame, batches: int = BATCHES, index: FingerprintIndex | None = None) -> DataFrame:
+    """(late, key, covered, open) of all documents, batch by batch through an index."""
+    index = index or FingerprintIndex(documents.sparkSession)
+    shares = [i / batches for i in range(1, batches)]
+    ends = documents.select(F.percentile_approx(F.col("doc_id").cast("bigint"), shares, 10000)).first()[0] if shares else []
+    key, low, found = F.col("doc_id").cast("bigint"), None, None
     for end in [*sorted(set(ends or [])), None]:
         batch = documents
         if low is not None:
             batch = batch.where((key > low) | key.isNull())
         if end is not None:
             batch = batch.where(key <= end)
-        found.append(index.add(batch, keep=end is not None))
-        low = end
-    every = found[0]
-    for other in found[1:]:
-        every = every.unionByName(other)
-    return materialize(by_document(every), "replies")
+        more = index.add(batch)
+        found, low = more if found is None else found.unionByName(more), end
+    return materialize(by_document(found), "replies")
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:

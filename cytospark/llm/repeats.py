@@ -6,16 +6,16 @@ times the input, so windows are named in steps:
 1. Each window has an anchor, the leftmost of its k-grams with the least hash. It depends on nothing but the window, so equal
    windows have equal anchors at the same place. Windows that follow each other with one anchor are a run; about one
    row for each (n - k + 2) / 2 units is shuffled: the anchor's hash g and the hash s of all text that the run's windows cover.
-2. By g, all rows of a k-gram meet in order of s and document. A run whose (g, s) occurs earlier is covered as a whole.
+2. By g, all rows of a k-gram meet in order of s and document, in Spark's windows. A run whose (g, s) occurs earlier is covered as a whole.
    Where g has one s only, nothing else can repeat. Where it has several, the first run of each s is open.
 3. Windows of open runs are named one by one, by (g, w), and meet again; later ones are covered.
 
 Before each shuffle a task keeps one row for each name in its block of text and settles the others itself: a passage in a third of all documents
 gives a row for each block and not for each document. At the ends of such a passage, where every document goes on in its own way, a block sends few of
-the names to the anchor's group and opens the rest at once. Groups are walked in sorted order with a state of a few numbers.
-Names are pairs of 64-bit hashes, which have to agree both.
+the names to the anchor's group and opens the rest at once. Names are pairs of 64-bit hashes, which have to agree both.
 
-Documents are compared by `key`: the doc_id, and the largest integer for null. Rows with the same key aren't earlier than each other.
+Documents are compared by doc_id; one without id is later than all that have one, and as late as its like. Answers go to documents by
+(late, key): the doc_id, or, where it is null, a hash of the text. Rows of the same doc_id aren't earlier than each other, and share their answers.
 """
 
 from __future__ import annotations
@@ -25,15 +25,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import NON_SPACE, Rolling, byte_symbols, join_texts, materialize, mix, text_blocks, words_of
 
 _U = np.uint64
-#: Stands for a null doc_id.
-LAST = (1 << 63) - 1
-PLAIN, COVERED, OPEN = 0, 1, 2
+#: What is known of a row: nothing yet, that its windows repeat, or that they are to be looked at one by one; LATE is added for documents without id.
+PLAIN, COVERED, OPEN, LATE = 0, 1, 2, 4
 #: Names of one anchor in a block of text from which on they don't all go to its group.
 MOST_NAMES = 4
 
@@ -100,22 +100,22 @@ def runs_of(spec: Spec, texts: list[bytes]) -> Runs:
     return Runs(blob, starts, ends, first, last, roll, low, high, np.searchsorted(first, low, "right") - 1, grams[anchor], mix(roll(low, high + spec.n) ^ shape))
 
 
-def _names(g: np.ndarray, name: np.ndarray, key: np.ndarray, most: int | None = None) -> pa.RecordBatch:
-    """One plain row for the first document of each (g, name); the other documents are covered, and get any g.
+def _names(g: np.ndarray, name: np.ndarray, late: np.ndarray, key: np.ndarray, most: int | None = None) -> pa.RecordBatch:
+    """One plain row for the first document of each (g, name), and for each without id if none has one; other documents are covered, and get any g.
 
     Where g has `most` names in the block, its group is known to be open: two names go to the group, so that all others there open as well, and
     the rest are open without it.
     """
-    order = np.lexsort((key, name, g))
-    g, name, key = g[order], name[order], key[order]
+    order = np.lexsort((key, late, name, g))
+    g, name, late, key = g[order], name[order], late[order], key[order]
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (name[1:] != name[:-1])
-    begin = np.flatnonzero(new)
-    top = key[begin][np.cumsum(new) - 1] if len(g) else key
-    keep = new | (key > top)
-    keep[1:] &= new[1:] | (key[1:] != key[:-1])
-    plain = new[keep]
-    g, name, key = g[keep], name[keep], key[keep]
+    at = np.flatnonzero(new)[np.cumsum(new) - 1] if len(g) else np.zeros(0, np.int64)
+    covered = ~late[at] & (late | (key > key[at]))
+    other = np.ones(len(g), bool)
+    other[1:] = new[1:] | (key[1:] != key[:-1]) | (late[1:] != late[:-1])
+    keep = new | (other & (covered | late[at]))
+    g, name, late, key, plain = g[keep], name[keep], late[keep], key[keep], ~covered[keep]
     kind = np.where(plain, PLAIN, COVERED).astype(np.int8)
     if most and plain.any():
         own = np.flatnonzero(plain)
@@ -124,93 +124,70 @@ def _names(g: np.ndarray, name: np.ndarray, key: np.ndarray, most: int | None =
         begin = np.flatnonzero(first)
         size = np.diff(np.append(begin, len(own)))
         rank = np.arange(len(own)) - np.repeat(begin, size)
-        kind[own[(np.repeat(size, size) >= most) & (rank >= 2)]] = OPEN
+        several = np.repeat(name[own][begin] != name[own][begin + size - 1], size)
+        kind[own[several & (np.repeat(size, size) >= most) & (rank > 0) & (rank < np.repeat(size, size) - 1)]] = OPEN
         plain = kind == PLAIN
-    return pa.RecordBatch.from_arrays([pa.array(np.where(plain, g, mix(name ^ key.view(np.uint64))).view(np.int64)), pa.array(name.view(np.int64)), pa.array(key), pa.array(kind)], ["g", "s", "key", "kind"])
+    g = np.where(plain, g, mix(name ^ key.view(np.uint64)))
+    return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(name.view(np.int64)), pa.array(key), pa.array(kind + late.astype(np.int8) * np.int8(LATE))], ["g", "s", "key", "kind"])
 
 
 _ROWS = "g bigint, s bigint, key bigint, kind tinyint"
 
 
+def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """`late` and `key` of a batch."""
+    return batch.column("late").to_numpy(zero_copy_only=False), batch.column("key").to_numpy()
+
+
 def run_rows(spec: Spec, keyed: DataFrame) -> DataFrame:
-    """(g, s, key, kind) of the runs of (key, text)."""
+    """(g, s, key, kind) of the runs of (late, key, text)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches):
             r = runs_of(spec, texts)
-            yield _names(r.g, r.s, batch.column("key").to_numpy()[r.doc], MOST_NAMES)
-
-    return keyed.select("key", "text").mapInArrow(emit, _ROWS)
-
-
-class _Settler:
-    """Walks rows sorted by (g, s, key) and says which are covered, and which open a run; what it keeps between batches is one group's last row."""
-
-    def __init__(self) -> None:
-        self.g = self.s = self.top = None
-        self.several = False
-        self.pending: tuple[int, int] | None = None
-
-    def step(self, g: np.ndarray, s: np.ndarray, key: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """([covered keys, names], [open keys, names])."""
-        n = len(g)
-        new_g, new_s = np.ones(n, bool), np.ones(n, bool)
-        new_g[1:] = g[1:] != g[:-1]
-        new_g[0] = self.g is None or g[0] != self.g
-        new_s[1:] = new_g[1:] | (s[1:] != s[:-1])
-        new_s[0] = new_g[0] or s[0] != self.s
-        index = np.cumsum(new_s) - 1
-        tops = key[new_s]
-        top = np.where(index >= 0, tops[np.maximum(index, 0)] if len(tops) else 0, self.top if self.top is not None else 0)
-        covered = key > top
-        # names of each group, with what an earlier batch has seen of the first
-        group = np.cumsum(new_g) - (1 if new_g[0] else 0)  # 0: the group that goes on, if one does
-        base = 0 if new_g[0] else 1
-        names = np.bincount(group[new_s] if new_g[0] else group[new_s], minlength=int(group[-1]) + 1)
-        if not new_g[0]:
-            names[0] += 2 if self.several else 1
-        several = names[group] > 1
-        opens = new_s & several
-        keys, texts = [key[opens]], [s[opens]]
-        if self.pending and base and several[0]:
-            keys.append(np.array([self.pending[0]]))
-            texts.append(np.array([self.pending[1]]))
-        going_on = bool(base) and group[-1] == 0
-        if not (going_on and self.pending and not several[-1]):
-            self.pending = None
-        if not several[-1] and new_s[group == group[-1]].any():
-            at = int(np.flatnonzero(new_s)[-1])
-            self.pending = (int(key[at]), int(s[at]))
-        self.g, self.s, self.top, self.several = g[-1], s[-1], top[-1], bool(several[-1])
-        return [key[covered], s[covered]], [np.concatenate(keys), np.concatenate(texts)]
-
-
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    state = _Settler()
-    for batch in batches:
-        g, s, key, kind = (batch.column(n).to_numpy() for n in ("g", "s", "key", "kind"))
-        plain = kind == PLAIN
-        parts = [(key[kind == k], s[kind == k], k) for k in (COVERED, OPEN)]
-        if plain.any():
-            (ck, cs), (ok, os_) = state.step(g[plain], s[plain], key[plain])
-            parts += [(ck, cs, COVERED), (ok, os_, OPEN)]
-        key, name = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        kinds = np.concatenate([np.full(len(p[0]), p[2], np.int8) for p in parts])
-        yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(name, pa.int64()), pa.array(kinds)], ["key", "s", "kind"])
+            late, key = _documents(batch)
+            yield _names(r.g, r.s, late[r.doc], key[r.doc], MOST_NAMES)
 
+    return keyed.select("late", "key", "text").mapInArrow(emit, _ROWS)
 
-def settle(rows: DataFrame, *by: str) -> DataFrame:
-    """(key, s, kind): what is covered and what is open among rows of (g, s, key, kind).
 
-    Rows are dealt by g, or by the columns given: with (g, s) equal names still meet, but `OPEN` means nothing.
-    """
-    return rows.repartition(*by or ("g",)).sortWithinPartitions("g", "s", "key").mapInArrow(_settle, "key bigint, s bigint, kind tinyint")
+def is_late() -> Column:
+    return F.col("kind") >= LATE
+
+
+def known() -> Column:
+    """The kind of a row without LATE."""
+    return F.col("kind").bitwiseAND(F.lit(3).cast("tinyint"))
+
+
+def first_of_name() -> Column:
+    """(late, key) of the first document of a row's name, by a window that goes through the rows of (g, s) in order."""
+    here = W.partitionBy("g", "s").orderBy(is_late(), "key").rowsBetween(W.unboundedPreceding, 0)
+    return F.first(F.struct(is_late().alias("late"), F.col("key").alias("key"))).over(here)
+
+
+def is_covered(first: Column) -> Column:
+    return ~first["late"] & (is_late() | (F.col("key") > first["key"]))
+
+
+def settle(rows: DataFrame) -> DataFrame:
+    """(late, key, s, kind): what is covered and what is open among rows of (g, s, key, kind)."""
+    every = W.partitionBy("g")
+    out = rows.withColumn("first", first_of_name()).withColumn("several", F.min("s").over(every) != F.max("s").over(every))
+    kind = F.when(known() != PLAIN, known()).when(is_covered(F.col("first")), F.lit(COVERED)).when(F.col("several"), F.lit(OPEN))
+    return out.select(is_late().alias("late"), "key", "s", kind.cast("tinyint").alias("kind")).where("kind IS NOT NULL")
+
+
+def settle_windows(rows: DataFrame) -> DataFrame:
+    """(late, key, s): the covered ones among rows of (g, s, key, kind); here an open row is one without an answer."""
+    covered = (known() == COVERED) | ((known() == PLAIN) & is_covered(F.col("first")))
+    return rows.withColumn("first", first_of_name()).where(covered).select(is_late().alias("late"), "key", "s")
 
 
 def by_document(settled: DataFrame) -> DataFrame:
-    """(key, covered, open): the names of each document, as long as its text at most."""
+    """(late, key, covered, open): the names of each document, as long as its text at most."""
     pick = lambda kind, name: F.collect_set(F.when(F.col("kind") == kind, F.col("s"))).alias(name)
-    return settled.groupBy("key").agg(pick(COVERED, "covered"), pick(OPEN, "open"))
+    return settled.groupBy("late", "key").agg(pick(COVERED, "covered"), pick(OPEN, "open"))
 
 
 def _lists(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -242,15 +219,16 @@ def _spread(r: Runs, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_rows(spec: Spec, joined: DataFrame) -> DataFrame:
-    """(g, s, key, kind) of the windows of open runs, from (key, text, open)."""
+    """(g, s, key, kind) of the windows of open runs, from (late, key, text, open)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches):
             r = runs_of(spec, texts)
             at, run = _spread(r, np.flatnonzero(_among(r.doc, r.s, *_lists(batch, "open"))))
-            yield _names(r.g[run], r.roll(at, at + spec.n), batch.column("key").to_numpy()[r.doc[run]])
+            late, key = _documents(batch)
+            yield _names(r.g[run], r.roll(at, at + spec.n), late[r.doc[run]], key[r.doc[run]])
 
-    return joined.select("key", "text", "open").mapInArrow(emit, _ROWS)
+    return joined.select("late", "key", "text", "open").mapInArrow(emit, _ROWS)
 
 
 def covered_units(spec: Spec, batch: pa.RecordBatch, texts: list[bytes]) -> tuple[Runs, np.ndarray]:
@@ -283,24 +261,25 @@ def covered_units(spec: Spec, batch: pa.RecordBatch, texts: list[bytes]) -> tupl
 
 
 def keyed_documents(documents: DataFrame) -> DataFrame:
-    """(key, text) of the documents."""
-    return documents.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("key"), "text")
+    """(late, key, text) of the documents."""
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
+    return documents.select(F.col("doc_id").isNull().alias("late"), key.alias("key"), "text")
 
 
 def finish(spec: Spec, documents: DataFrame, replies: DataFrame, digest: Callable, schema: str) -> DataFrame:
-    """Settles the windows of open runs and gives each document to `digest`, with what is covered of it, after `key`: `schema`.
+    """Settles the windows of open runs and gives each document to `digest`, with what is covered of it, after `late` and `key`: `schema`.
 
-    `replies` is (key, covered, open). The texts are shuffled once, by key: both joins of this plan use the same exchange.
+    `replies` is (late, key, covered, open). The texts are shuffled once, by document: both joins of this plan use the same exchange.
     """
-    texts = keyed_documents(documents)
-    opened = replies.where(F.size("open") > 0).select("key", "open")
-    windows = settle(window_rows(spec, texts.join(opened, "key").select("key", "text", "open")), "g", "s")
-    windows = windows.where(F.col("kind") == COVERED).groupBy("key").agg(F.collect_set("s").alias("windows"))
-    joined = texts.join(replies, "key", "left").join(windows, "key", "left")
-    out = joined.select("key", "text", "covered", "open", "windows").mapInArrow(digest, f"key bigint, {schema}")
-    return out.select(F.when(F.col("key") != LAST, F.col("key")).alias("doc_id"), *out.columns[1:])
+    texts, on = keyed_documents(documents), ["late", "key"]
+    opened = replies.where(F.size("open") > 0).select("late", "key", "open")
+    windows = settle_windows(window_rows(spec, texts.join(opened, on).select("late", "key", "text", "open")))
+    windows = windows.groupBy("late", "key").agg(F.collect_set("s").alias("windows"))
+    joined = texts.join(replies, on, "left").join(windows, on, "left")
+    out = joined.select("late", "key", "text", "covered", "open", "windows").mapInArrow(digest, f"late boolean, key bigint, {schema}")
+    return out.select(F.when(~F.col("late"), F.col("key")).alias("doc_id"), *out.columns[2:])
 
 
 def replies_of(rows: DataFrame, name: str) -> DataFrame:
-    """(key, covered, open) of all documents that have any, written out."""
+    """(late, key, covered, open) of all documents that have any, written out."""
     return materialize(by_document(settle(rows)), name)

@@ -47,13 +47,13 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, rows in _spans(batches):
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64()), pa.array([len(x[2]) for x in rows], pa.int64()), pa.array([hashlib.sha256(x[3]).hexdigest() for x in rows], pa.string())], ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        yield pa.RecordBatch.from_arrays([batch.column("late"), batch.column("key"), pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64()), pa.array([len(x[2]) for x in rows], pa.int64()), pa.array([hashlib.sha256(x[3]).hexdigest() for x in rows], pa.string())], ["late", "key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, rows in _spans(batches):
         spans = [[{"start": a, "end": b} for a, b in x[2]] for x in rows]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([x[3] for x in rows], pa.binary())], ["key", "spans", "kept"])
+        yield pa.RecordBatch.from_arrays([batch.column("late"), batch.column("key"), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([x[3] for x in rows], pa.binary())], ["late", "key", "spans", "kept"])
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:

@@ -356,8 +356,8 @@ def varied():
 def test_repeats_edges(spark, edge):
     rows = [(i, t) for i, t, _ in EDGE if t != LONG + " end"] + varied()
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for ends in ((), (0.3, 0.6)):
-        got = repeats.finish(fingerprint_index.SPEC, df, fingerprint_index.find_repeats(df, ends), fingerprint_index._digest, "n_words bigint, n_removed bigint, kept_sha256 string")
+    for batches in (1, 3, 6):
+        got = repeats.finish(fingerprint_index.SPEC, df, fingerprint_index.find_repeats(df, batches), fingerprint_index._digest, "n_words bigint, n_removed bigint, kept_sha256 string")
         assert by_text(tuple(r) for r in got.collect()) == by_text(cut_words(rows))
     got = repeats.finish(suffix_doubling.SPEC, df, repeats.replies_of(repeats.run_rows(suffix_doubling.SPEC, repeats.keyed_documents(df)), "t"), suffix_doubling._digest, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     assert by_text(tuple(r) for r in got.collect()) == by_text(cut_bytes(rows))
@@ -370,27 +370,25 @@ def test_suffix_doubling(spark, small, docs):
     assert by_text(tuple(r) for r in got.collect()) == by_text(cut_bytes(docs))
 
 
-def test_index_compacts(spark):
-    index = fingerprint_index.FingerprintIndex(spark, max_runs=1)
-    rows = varied()
+def test_index_opened_again(spark):
+    """Batches added in two sessions, with compaction; older runs aren't moved."""
+    rows = [(i, t) for i, t in varied() if i is not None]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for low, high in ((0, 15), (15, 110), (110, 1000)):
-        index.add(df.where(f"doc_id >= {low} AND doc_id < {high}"))
-    assert len(index.runs) == 1 and index.history().groupBy("g", "s").count().where("count > 1").count() == 0
-
-
-def test_settler_across_batches():
-    g = np.array([1, 1, 1, 2, 2, 3, 3, 3, 4])
-    s = np.array([5, 5, 6, 7, 7, 8, 8, 9, 1])
-    key = np.array([1, 2, 1, 3, 3, 1, 4, 2, 1])
-    for sizes in ([9], [1] * 9, [2, 3, 4], [3, 6], [4, 1, 4]):
-        state, covered, opened, at = repeats._Settler(), set(), set(), 0
-        for n in sizes:
-            (ck, cs), (ok, os_) = state.step(g[at : at + n], s[at : at + n], key[at : at + n])
-            covered |= set(zip(ck.tolist(), cs.tolist(), strict=True))
-            opened |= set(zip(ok.tolist(), os_.tolist(), strict=True))
-            at += n
-        assert covered == {(2, 5), (4, 8)} and opened == {(1, 5), (1, 6), (1, 8), (2, 9)}
+    index = fingerprint_index.FingerprintIndex(spark, max_runs=2)
+    found = index.add(df.where("doc_id < 10")).unionByName(index.add(df.where("doc_id >= 10 AND doc_id < 25")))
+    later = spark.newSession()
+    again = fingerprint_index.FingerprintIndex(later, index.folder, max_runs=2)
+    assert again.runs == index.runs and len(again.runs) == 2 and again.buckets == index.buckets
+    docs = later.createDataFrame(rows, "doc_id long, text string")
+    for low, high in ((25, 110), (110, 1000)):
+        more = again.add(docs.where(f"doc_id >= {low} AND doc_id < {high}"))
+        found = found.unionByName(spark.read.parquet(*more.inputFiles()) if more.inputFiles() else found.limit(0))
+    assert len(again.runs) == 2 and again._old(again.runs[0]).groupBy("g", "s").count().where("count > 1").isEmpty()
+    got = repeats.finish(fingerprint_index.SPEC, df, repeats.by_document(found), fingerprint_index._digest, "n_words bigint, n_removed bigint, kept_sha256 string")
+    assert by_text(tuple(r) for r in got.collect()) == by_text(cut_words(rows))
+    with fingerprint_index._merging(later):
+        plan = again.compare(again.runs[-1])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
 
 
 def test_toxicity_held_out(spark):
