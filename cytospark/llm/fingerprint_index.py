@@ -34,16 +34,16 @@ from .repeats import COVERED, OPEN, PLAIN, Spec, by_document, covered_units, fin
 #: 13 words, anchored by 5; only other documents count.
 SPEC = Spec(n=13, k=5, words=True, within=False)
 #: Runs that the index has before they are compacted.
-MAX_RUNS = 3
+MAX_RUNS = 2
 #: The query takes the documents in so many batches of about equal size.
-BATCHES = 5
+BATCHES = 4
 _SCHEMA = "g BIGINT, s BIGINT, key BIGINT, kind TINYINT"
 
 
 @contextmanager
 def _merging(spark: SparkSession) -> Iterator[None]:
-    """Lets Spark join tables that are bucketed by g and sorted by (g, s) by both without moving or sorting them."""
-    wanted = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}
+    """Lets Spark join and group tables that are bucketed by g and sorted by (g, s) by both without moving or sorting them."""
+    wanted = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true", "spark.sql.execution.replaceHashWithSortAgg": "true"}
     before = {k: spark.conf.get(k) for k in wanted}
     try:
         for k, v in wanted.items():
@@ -98,25 +98,31 @@ class FingerprintIndex:
         """(g, s, key): the fingerprints of documents with an id of an older run."""
         return self.run(name).where(F.col("kind") == PLAIN).select("g", "s", "key")
 
-    def compare(self, name: str) -> DataFrame:
-        """Repeats between the run and all older ones, as (late, key, s, kind) of `repeats.settle`. No run is moved."""
-        every = W.partitionBy("g")
-        rows = self.run(name).withColumn("first", first_of_name()).withColumn("low", F.min("s").over(every)).withColumn("high", F.max("s").over(every))
-        spread, groups, seen = [F.struct("low", "high")], self.run(name).where(known() == PLAIN).groupBy("g").agg(F.min("s").alias("low"), F.max("s").alias("high")), F.lit(False)
+    def _opened(self, name: str) -> DataFrame:
+        """(g): the anchors of the run at which it and older runs have several fingerprints."""
+        groups = self.run(name).where(known() == PLAIN).groupBy("g").agg(F.min("s").alias("low"), F.max("s").alias("high"))
+        low, high = [F.col("low")], [F.col("high")]
         for i, old in enumerate(self.runs):
-            names = self._old(old).groupBy("g", "s").agg(F.min("key").alias(f"old_{i}"))
             theirs = self._old(old).groupBy("g").agg(F.min("s").alias(f"low_{i}"), F.max("s").alias(f"high_{i}"))
-            rows = rows.join(names.hint("merge"), ["g", "s"], "left").join(theirs.hint("merge"), "g", "left")
             groups = groups.join(theirs.hint("merge"), "g", "left")
-            spread.append(F.struct(F.col(f"low_{i}").alias("low"), F.col(f"high_{i}").alias("high")))
-            seen = seen | (F.col(f"old_{i}").isNotNull() & (is_late() | (F.col("key") > F.col(f"old_{i}"))))
+            low, high = [*low, F.col(f"low_{i}")], [*high, F.col(f"high_{i}")]
         # least and greatest pass over nulls
-        several = F.least(*[x["low"] for x in spread], F.col("low")) != F.greatest(*[x["high"] for x in spread], F.col("high"))
-        kind = F.when(known() != PLAIN, known()).when(seen | is_covered(F.col("first")), F.lit(COVERED)).when(several, F.lit(OPEN))
+        several = F.least(*low) != F.greatest(*high) if self.runs else F.col("low") != F.col("high")
+        return groups.where(several).select("g", F.lit(0).cast("bigint").alias("s"), F.lit(0).cast("bigint").alias("key"), F.lit(OPEN).cast("tinyint").alias("kind"))
+
+    def compare(self, name: str, opened: str) -> DataFrame:
+        """Repeats between the run and all older ones, as (late, key, s, kind) of `repeats.settle`, with the anchors of `_opened`. No run is moved."""
+        anchors = self.run(opened).select("g", F.lit(True).alias("several"))
+        rows, seen = self.run(name).withColumn("first", first_of_name()), F.lit(False)
+        for i, old in enumerate(self.runs):
+            names = self._old(old).groupBy("g", "s").agg(F.min("key").alias(f"old_{i}"))
+            rows = rows.join(names.hint("merge"), ["g", "s"], "left")
+            seen = seen | (F.col(f"old_{i}").isNotNull() & (is_late() | (F.col("key") > F.col(f"old_{i}"))))
+        rows = rows.join(anchors.hint("merge"), "g", "left")
+        kind = F.when(known() != PLAIN, known()).when(seen | is_covered(F.col("first")), F.lit(COVERED)).when(F.col("several"), F.lit(OPEN))
         found = rows.select(is_late().alias("late"), "key", "s", kind.cast("tinyint").alias("kind")).where("kind IS NOT NULL")
-        opened = groups.where(several).select("g")
         for old in self.runs:  # the windows of older documents at the same anchors are needed, too
-            again = self._old(old).join(opened.hint("merge"), "g", "left_semi").groupBy("g", "s").agg(F.min("key").alias("key"))
+            again = self._old(old).join(anchors.hint("merge"), "g", "left_semi").groupBy("g", "s").agg(F.min("key").alias("key"))
             found = found.unionByName(again.select(F.lit(False).alias("late"), "key", "s", F.lit(OPEN).cast("tinyint").alias("kind")))
         return found
 
@@ -127,7 +133,9 @@ class FingerprintIndex:
         """
         name = self._write(run_rows(self.spec, keyed_documents(batch)).repartition(self.buckets, "g"))
         with _merging(self.spark):
-            found = materialize(self.compare(name), "found")
+            opened = self._write(self._opened(name))
+            found = materialize(self.compare(name, opened), "found")
+        drop_path(self.spark, f"{self.folder}/{opened}")
         self._commit([*self.runs, name])
         while len(self.runs) > max(1, self.max_runs):
             self.compact()
