@@ -36,7 +36,7 @@ SPEC = Spec(n=13, k=5, words=True, within=False)
 #: Runs that the index has before they are compacted.
 MAX_RUNS = 2
 #: The query takes the documents in so many batches of about equal size.
-BATCHES = 4
+BATCHES = 3
 _SCHEMA = "g BIGINT, s BIGINT, key BIGINT, kind TINYINT"
 
 

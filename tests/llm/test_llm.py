@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from oracle import connect, same
 
-from cytospark.llm import decontaminate, fingerprint_index, licenses, lines, merkle, mixing, pii, registry, repeats, simhash, suffix_doubling, toxicity
+from cytospark.llm import decontaminate, fingerprint_index, licenses, lines, merkle, mixing, pii, ranks, registry, repeats, simhash, suffix_doubling, toxicity
 from cytospark.llm.common import table
 
 SPACE = rb"[^\x20\x09-\x0D]+"
@@ -370,6 +370,16 @@ def test_suffix_doubling(spark, small, docs):
     assert by_text(tuple(r) for r in got.collect()) == by_text(cut_bytes(docs))
 
 
+def test_prefix_doubling_of_all_suffixes(spark):
+    """Places found by ranks of all suffixes, as the spans of the sparse form."""
+    rows = [(None, f"x {PASSAGE} {PASSAGE} y"), (None, f"z {PASSAGE} {PASSAGE} y"), (5, "ä" * 300), (6, None), (6, PASSAGE * 2), (6, PASSAGE * 2), *varied()]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    places = {}
+    for r in ranks.repeated_places(df).collect():
+        places.setdefault(r.row, set()).update(range(r.at, r.at + 100))
+    assert {i: len(p) for i, p in places.items()} == {k: n for k, (_, _, n, *_) in enumerate(cut_bytes(rows)) if n}
+
+
 def test_index_opened_again(spark):
     """Batches added in two sessions, with compaction; older runs aren't moved."""
     rows = [(i, t) for i, t in varied() if i is not None]
