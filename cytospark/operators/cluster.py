@@ -72,7 +72,7 @@ def composition_percent(means: DataFrame, by: str = "cluster") -> DataFrame:
 
 def fold_change(means: DataFrame, background: DataFrame) -> DataFrame:
     """log2(((mean + b) / sum(mean + b)) / b), b the type's share of all cells (cell_type, b)."""
-    out = means.join(F.broadcast(background), "cell_type").withColumn("__v", F.col("mean") + F.col("b"))
+    out = means.join(background, "cell_type").withColumn("__v", F.col("mean") + F.col("b"))
     value = ratio(F.col("__v") / F.sum("__v").over(W.partitionBy("cluster")), F.col("b"))
     return out.select("cluster", "cell_type", F.when(value > 0, F.log2(value)).alias("log2_fold_change"))
 
@@ -110,7 +110,7 @@ def tissue_enrichment(named: DataFrame, cells: DataFrame, kind: str = "cell_type
     tissue = share(cells.groupBy(kind).agg(F.count(F.lit(1)).alias("n")), "n", [], "__tissue").select(kind, "__tissue")
     value = ratio("pct", "__tissue")
     log: Column = F.when(value == 0, F.lit(float("-inf"))).otherwise(F.log2(value))
-    return named.join(F.broadcast(tissue), kind).select("name", kind, log.alias("log2_enrichment"))
+    return named.join(tissue, kind).select("name", kind, log.alias("log2_enrichment"))
 
 
 def abundance_difference(cells: DataFrame, label: str = "name") -> DataFrame:

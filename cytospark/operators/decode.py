@@ -14,7 +14,7 @@ MARKERS_12 = ("A6", "A17", "A55", "A56", "A76", "A79", "A20", "A46", "A28", "A72
 MARKERS_15 = (*MARKERS_12, "A126", "A127", "A128")
 CODES = ("101001100011", "100110100011", "101010001011", "000101101110", "011010100101", "010000110111", "011110010100", "111101010000", "010100011011", "011011000110")
 
-FULL_BARCODE = Codebook(MARKERS_12, ((CODES[1], "LNP_A"),), 6, 4)
+FULL_BARCODE = Codebook(MARKERS_12, (("100110100011", "LNP_A"),), 6, 4)
 SINGLE_BIT = Codebook(("A20",), (("1", "LNP_A"),), 1, 0)
 ROUND_1 = Codebook(MARKERS_12, tuple(zip(CODES, LNP_ORDER, strict=True)), 6, 2)
 ROUND_2 = Codebook(MARKERS_15, tuple((c + "000", n) for c, n in zip(CODES, LNP_ORDER, strict=True)), 6, 2)

@@ -187,7 +187,7 @@ def label_components(mask: DataFrame, by: Sequence[str], width: int) -> DataFram
     image = F.dense_rank().over(W.orderBy(*by)).cast("bigint") if by else F.lit(1).cast("bigint")
     images = materialize(mask.select(*by).distinct().withColumn("image", image), "images")
     node = F.col("image") * (1 << 40) + F.col("i").cast("bigint") * width + F.col("j")
-    nodes = materialize(mask.select(*by, "i", "j").join(F.broadcast(images), list(by)).withColumn("node", node), "mask")
+    nodes = materialize(mask.select(*by, "i", "j").join(images, list(by)).withColumn("node", node), "mask")
     step = F.explode(F.array_compact(F.array(F.when(F.col("j") + 1 < width, F.col("node") + 1), F.col("node") + width))).alias("v")
     edges = nodes.select(F.col("node").alias("u"), step).join(nodes.select(F.col("node").alias("v")), "v", "left_semi")
     roots = components(edges).withColumnRenamed("u", "node")
@@ -204,14 +204,14 @@ def keep_areas(labels: DataFrame, by: Sequence[str], least: int, most: int) -> D
 
 def segment(pixels: DataFrame, by: Sequence[str], width: int, least: int = 100, most: int = 5000) -> DataFrame:
     """Foreground components above the image's Otsu threshold, within the areas."""
-    bright = pixels.join(F.broadcast(otsu(pixels, by)), list(by)).where("v > threshold")
+    bright = pixels.join(otsu(pixels, by), list(by)).where("v > threshold")
     return keep_areas(label_components(bright, by, width), by, least, most)
 
 
 def blobs(pixels: DataFrame, by: Sequence[str], width: int, percentile: float = 99.0, least: int = 4, most: int = 400) -> DataFrame:
     """(by, label, i, j, area): components above the percentile, at their value-weighted centre, rounded half to even."""
     cut = pixels.groupBy(*by).agg(F.percentile("v", F.lit(percentile / 100)).alias("__t"))
-    bright = pixels.join(F.broadcast(cut), list(by)).where("v > __t").drop("__t")
+    bright = pixels.join(cut, list(by)).where("v > __t").drop("__t")
     labels = label_components(bright, by, width).join(pixels, [*by, "i", "j"])
     centre = lambda c: F.bround(F.sum(F.col(c) * F.col("v")) / F.sum("v")).cast("bigint")
     out = labels.groupBy(*by, "label").agg(centre("i").alias("i"), centre("j").alias("j"), F.count(F.lit(1)).alias("area"))

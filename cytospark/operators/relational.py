@@ -18,7 +18,7 @@ def dimension(spark: SparkSession, name: str, values: Iterable[str]) -> DataFram
 
 def complete_grid(counts: DataFrame, keys: Sequence[str], grid: DataFrame, fill: Sequence[str]) -> DataFrame:
     """Each row of the grid of keys with its counts, 0 where there are none. The grid is a dimension."""
-    return F.broadcast(grid).join(counts, list(keys), "left").fillna(0, list(fill))
+    return grid.join(counts, list(keys), "left").fillna(0, list(fill))
 
 
 def share(df: DataFrame, count: str, by: Sequence[str], alias: str, total: str | None = None) -> DataFrame:

@@ -59,8 +59,8 @@ def knn_pairs(targets: DataFrame, reference: DataFrame, k: int, group: str = "ln
     while True:
         h = F.col("h") * wide
         grid = extent.select(group, h.alias("h"), "x0", "x1", "y0", "y1")
-        probe = left.join(F.broadcast(grid), group).withColumn("bx", F.floor(F.col("tx") / F.col("h"))).withColumn("by", F.floor(F.col("ty") / F.col("h")))
-        near = _pool(pool.join(F.broadcast(grid.select(group, "h")), group), group, "cell_id", list(keep), F.col("h"), [])
+        probe = left.join(grid, group).withColumn("bx", F.floor(F.col("tx") / F.col("h"))).withColumn("by", F.floor(F.col("ty") / F.col("h")))
+        near = _pool(pool.join(grid.select(group, "h"), group), group, "cell_id", list(keep), F.col("h"), [])
         pairs = probe.join(near, [group, "bx", "by"])
         if exclude_self:
             pairs = pairs.where(F.col("neighbor_id") != F.col("target_id"))
@@ -78,7 +78,7 @@ def knn_pairs(targets: DataFrame, reference: DataFrame, k: int, group: str = "ln
         # a target without any pair is left, too, unless its block covers everything
         covered = probe.where(whole).select(group, "target_id")
         left = left.join(found.where("settled").select(group, "target_id").distinct().unionByName(covered).distinct(), [group, "target_id"], "left_anti")
-        left = materialize(left.join(F.broadcast(extent.select(group)), group, "left_semi"), "left")
+        left = materialize(left.join(extent.select(group), group, "left_semi"), "left")
         wide *= 2
         if left.isEmpty():
             break

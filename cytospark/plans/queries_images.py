@@ -106,7 +106,7 @@ _TOP = "th AS (SELECT fov, quantile_cont(v, 0.95) AS t FROM px GROUP BY 1)"
 def _bright(spark: SparkSession, d: str) -> DataFrame:
     px = pixels(spark, d)
     cut = px.groupBy("fov").agg(F.percentile("v", F.lit(0.95)).alias("t"))
-    return px.join(F.broadcast(cut), "fov").where("v > t").drop("t")
+    return px.join(cut, "fov").where("v > t").drop("t")
 
 
 @query("I12_components", _labels(_TOP) + "SELECT fov, i, j, CAST(label AS INT) AS label FROM lb")
@@ -150,20 +150,21 @@ def _expanded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _spots(spark: SparkSession, d: str) -> DataFrame:
-    lines = table(spark, d, "lineitem").where("l_linenumber <= 2")
-    return lines.select(F.expr("cast(l_suppkey % 3 as int)").alias("fov"), F.expr("cast(l_orderkey % 96 as int)").alias("i"), F.expr("cast(l_partkey % 96 as int)").alias("j"), F.when(F.col("l_linenumber") == 1, "barcode1").otherwise("barcode2").alias("channel"))
+    """Every order line is a spot, odd line numbers in the first channel."""
+    channel = F.when(F.col("l_linenumber") % 2 == 1, "barcode1").otherwise("barcode2").alias("channel")
+    return table(spark, d, "lineitem").select(F.expr("cast(l_suppkey % 3 as int)").alias("fov"), F.expr("cast(l_orderkey % 96 as int)").alias("i"), F.expr("cast(l_partkey % 96 as int)").alias("j"), channel)
 
 
 _CLASSES = (
     _labels(_TOP).rstrip()
-    + """, ss AS (SELECT CAST(l_suppkey % 3 AS INT) AS fov, CAST(l_orderkey % 96 AS INT) AS i, CAST(l_partkey % 96 AS INT) AS j, l_linenumber AS ch FROM lineitem WHERE l_linenumber <= 2),
+    + """, ss AS (SELECT CAST(l_suppkey % 3 AS INT) AS fov, CAST(l_orderkey % 96 AS INT) AS i, CAST(l_partkey % 96 AS INT) AS j, 2 - l_linenumber % 2 AS ch FROM lineitem),
 sc AS (SELECT lb.fov, label, count(*) FILTER (ch = 1) AS a, count(*) FILTER (ch = 2) AS b FROM lb LEFT JOIN ss ON ss.fov = lb.fov AND ss.i = lb.i AND ss.j = lb.j GROUP BY 1, 2), cl AS (SELECT *, CASE WHEN a >= 4 AND b >= 4 THEN 'both_barcodes' WHEN a >= 4 THEN 'barcode1_only' WHEN b >= 4 THEN 'barcode2_only' ELSE 'no_barcode' END AS classification FROM sc) """
 )
 
 
-def _classes(spark: SparkSession, d: str, spots=_spots) -> DataFrame:
+def _classes(spark: SparkSession, d: str) -> DataFrame:
     labels = I.label_components(_bright(spark, d), BY, WIDTH)
-    counts = I.spots_per_cell(labels, spots(spark, d), BY, ["barcode1", "barcode2"])
+    counts = I.spots_per_cell(labels, _spots(spark, d), BY, ["barcode1", "barcode2"])
     return counts.withColumn("classification", D.two_barcode_class("barcode1_spot_count", "barcode2_spot_count", 4))
 
 
@@ -174,32 +175,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query("G29_two_oligo_summary", _CLASSES + "SELECT fov, count(*) AS n_cells, " + ", ".join(f"count_if(classification = '{c}') AS n_{c}" for c in ("both_barcodes", "barcode1_only", "barcode2_only", "no_barcode")) + " FROM cl GROUP BY 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return _class_counts(_classes(spark, d))
-
-
-def _class_counts(classes: DataFrame) -> DataFrame:
     names = ("both_barcodes", "barcode1_only", "barcode2_only", "no_barcode")
-    return classes.groupBy("fov").agg(F.count(F.lit(1)).alias("n_cells"), *[F.count_if(F.col("classification") == c).alias(f"n_{c}") for c in names])
-
-
-def _all_spots(spark: SparkSession, d: str) -> DataFrame:
-    """Every order line is a spot, odd line numbers in the first channel."""
-    channel = F.when(F.col("l_linenumber") % 2 == 1, "barcode1").otherwise("barcode2").alias("channel")
-    return table(spark, d, "lineitem").select(F.expr("cast(l_suppkey % 3 as int)").alias("fov"), F.expr("cast(l_orderkey % 96 as int)").alias("i"), F.expr("cast(l_partkey % 96 as int)").alias("j"), channel)
-
-
-def _all_lines(sql: str) -> str:
-    return sql.replace("l_linenumber AS ch FROM lineitem WHERE l_linenumber <= 2", "2 - l_linenumber % 2 AS ch FROM lineitem")
-
-
-@query("I15_spots_per_cell_all", _all_lines(ORACLES["I15_spots_per_cell"]))
-def _(spark: SparkSession, d: str) -> DataFrame:
-    return _classes(spark, d, _all_spots)
-
-
-@query("G29_two_oligo_summary_all", _all_lines(ORACLES["G29_two_oligo_summary"]))
-def _(spark: SparkSession, d: str) -> DataFrame:
-    return _class_counts(_classes(spark, d, _all_spots))
+    return _classes(spark, d).groupBy("fov").agg(F.count(F.lit(1)).alias("n_cells"), *[F.count_if(F.col("classification") == c).alias(f"n_{c}") for c in names])
 
 
 @query(
@@ -301,13 +278,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return D.bit_counts(_called(spark, d), D.ROUND_1)
 
 
-def _rare(spark: SparkSession, d: str) -> DataFrame:
-    return _called(spark, d).where("cell % 4 = 0 OR substr(called_code, 1, 7) = '0100001'")
-
-
 @query(
     "B8_cell_calls",
-    _BITS.replace("FROM lineitem)", "FROM lineitem WHERE l_suppkey % 4 = 0 OR substr(lpad(bin(l_partkey * 37 % 4096), 12, '0'), 1, 7) = '0100001')").rstrip()
+    _BITS.rstrip()
     + ", f AS (SELECT s_suppkey AS cell, "
     + ", ".join(f'coalesce("bit_{m}", 0) AS "bit_{m}"' for m in D.MARKERS_12)
     + " FROM supplier LEFT JOIN b ON b.cell = s_suppkey), v AS (SELECT cell, "
@@ -319,39 +292,16 @@ z AS (SELECT *, CASE WHEN total_barcode_spots = 0 THEN 'no_barcode' WHEN d = 0 T
 SELECT cell, CAST(total_barcode_spots AS BIGINT) AS total_barcode_spots, barcode, st AS barcode_match_status, CAST(d AS INT) AS barcode_match_distance, st IN ('exact', 'tolerant') AS lnp_positive, CASE WHEN st IN ('exact', 'tolerant') THEN call ELSE 'no_barcode' END AS lnp_call FROM z""",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return _supplier_calls(spark, d, _rare(spark, d))
-
-
-def _supplier_calls(spark: SparkSession, d: str, called: DataFrame) -> DataFrame:
     features = table(spark, d, "supplier").select(F.col("s_suppkey").alias("cell"))
-    out = D.cell_calls(features, D.bit_counts(called, D.ROUND_1), D.ROUND_1)
+    out = D.cell_calls(features, D.bit_counts(_called(spark, d), D.ROUND_1), D.ROUND_1)
     return out.select("cell", "total_barcode_spots", "barcode", "barcode_match_status", "barcode_match_distance", "lnp_positive", "lnp_call")
 
 
-@query("B8_cell_calls_all", ORACLES["B8_cell_calls"].replace(" WHERE l_suppkey % 4 = 0 OR substr(lpad(bin(l_partkey * 37 % 4096), 12, '0'), 1, 7) = '0100001'", ""))
-def _(spark: SparkSession, d: str) -> DataFrame:
-    return _supplier_calls(spark, d, _called(spark, d))
-
-
 @query(
     "N17_assign_spots",
-    "WITH c AS (SELECT event_id AS cell, (event_id * 7919) % 601 AS x, (event_id * 104729) % 599 AS y FROM events WHERE event_id % 50 = 0), s AS (SELECT event_id AS spot_id, (event_id * 31) % 601 AS x, (event_id * 17) % 599 AS y FROM events WHERE event_id % 3 = 1), "
+    "WITH c AS (SELECT s_suppkey AS cell, (s_suppkey * 7919) % 601 AS x, (s_suppkey * 104729) % 599 AS y FROM supplier), s AS (SELECT event_id AS spot_id, (event_id * 31) % 601 AS x, (event_id * 17) % 599 AS y FROM events), "
     f"p AS (SELECT spot_id, cell, sqrt(((s.x - c.x) * (s.x - c.x) + (s.y - c.y) * (s.y - c.y))::DOUBLE) AS d FROM s JOIN c ON abs(s.x - c.x) < 25 AND abs(s.y - c.y) < 25), b AS (SELECT * FROM p WHERE d < 25 QUALIFY row_number() OVER (PARTITION BY spot_id ORDER BY d, cell) = 1) SELECT spot_id, cell, {r('d')} AS cell_distance FROM s LEFT JOIN b USING (spot_id)",
 )
-def _(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").select("event_id")
-    place = lambda a, b: {"x": F.expr(f"cast(event_id * {a} % 601 as double)"), "y": F.expr(f"cast(event_id * {b} % 599 as double)"), "field": F.lit("all")}
-    centroids = e.where("event_id % 50 = 0").withColumns(place(7919, 104729)).withColumnRenamed("event_id", "cell")
-    spots = e.where("event_id % 3 = 1").withColumns(place(31, 17)).withColumnRenamed("event_id", "spot_id")
-    return I.assign_spots(spots, centroids, 25.0, "field").select("spot_id", "cell", "cell_distance")
-
-
-@query(
-    "N17_assign_spots_all",
-    ORACLES["N17_assign_spots"]
-    .replace("SELECT event_id AS cell, (event_id * 7919) % 601 AS x, (event_id * 104729) % 599 AS y FROM events WHERE event_id % 50 = 0", "SELECT s_suppkey AS cell, (s_suppkey * 7919) % 601 AS x, (s_suppkey * 104729) % 599 AS y FROM supplier")
-    .replace(" FROM events WHERE event_id % 3 = 1", " FROM events"),
-)
 def _(spark: SparkSession, d: str) -> DataFrame:
     place = lambda k, a, b: {"x": F.expr(f"cast({k} * {a} % 601 as double)"), "y": F.expr(f"cast({k} * {b} % 599 as double)"), "field": F.lit("all")}
     centroids = table(spark, d, "supplier").select(F.col("s_suppkey").alias("cell")).withColumns(place("cell", 7919, 104729))

@@ -12,8 +12,6 @@ LNP_REGIONS = tuple(f"S{slide}_reg{region:03d}" for slide in range(1, 5) for reg
 LNP_ORDER = tuple(f"LNP_{i:02d}" for i in range(1, 11))
 TISSUE_AVERAGE = "Tissue_average"
 NO_SIGNAL = "no_lnp_signal"
-IONIZABLE = ("SM-102", "ALC-0315")
-HELPERS = ("DSPC", "DOTAP", "DDAB", "DOPE", "18PG")
 AVERAGE_BASIS = "All annotated cells in 16 LNP-treated tissue regions"
 CALL_BASIS = "Codebook-matched LNP+ cells"
 AVERAGE_FORMULATION = "All cells (tissue average)"
@@ -34,13 +32,24 @@ CELL_COLUMNS = {
 }
 
 
+# Fixed values: (lnp_number, lnp_call, source_raw_lnp_call, ionizable_lipid, helper_lipid, formulation), the numbers in raw order.
+LNP_DETAIL = (
+    (1, "LNP_02", "LNP_01", "SM-102", "DSPC", "SM-102 + DSPC"),
+    (2, "LNP_01", "LNP_02", "SM-102", "DOTAP", "SM-102 + DOTAP"),
+    (3, "LNP_03", "LNP_03", "SM-102", "DDAB", "SM-102 + DDAB"),
+    (4, "LNP_04", "LNP_04", "SM-102", "DOPE", "SM-102 + DOPE"),
+    (5, "LNP_05", "LNP_05", "SM-102", "18PG", "SM-102 + 18PG"),
+    (6, "LNP_06", "LNP_06", "ALC-0315", "DSPC", "ALC-0315 + DSPC"),
+    (7, "LNP_07", "LNP_07", "ALC-0315", "DOTAP", "ALC-0315 + DOTAP"),
+    (8, "LNP_08", "LNP_08", "ALC-0315", "DDAB", "ALC-0315 + DDAB"),
+    (9, "LNP_09", "LNP_09", "ALC-0315", "DOPE", "ALC-0315 + DOPE"),
+    (10, "LNP_10", "LNP_10", "ALC-0315", "18PG", "ALC-0315 + 18PG"),
+)
+
+
 def lnp_detail_rows() -> list[tuple[int, str, str, str, str, str]]:
-    """(lnp_number, lnp_call, source_raw_lnp_call, ionizable_lipid, helper_lipid, formulation), the numbers in raw order."""
-    rows = []
-    for number, raw in enumerate(LNP_ORDER, start=1):
-        lipid, helper = IONIZABLE[(number - 1) // len(HELPERS)], HELPERS[(number - 1) % len(HELPERS)]
-        rows.append((number, SWAPPED.get(raw, raw), raw, lipid, helper, f"{lipid} + {helper}"))
-    return rows
+    """The rows of the formulation dimension."""
+    return list(LNP_DETAIL)
 
 
 def lnp_detail(spark: SparkSession) -> DataFrame:

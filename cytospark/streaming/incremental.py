@@ -19,10 +19,6 @@ def read_stream(spark: SparkSession, path: str, schema: str, files_per_batch: in
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def decode_stream(spots: DataFrame, book: Codebook, **options) -> DataFrame:
-    return decode(spots, book, **options)
-
-
 def gate_stream(cells: DataFrame, thresholds: dict[str, float], columns: dict[str, str]) -> DataFrame:
     """`<marker>_positive` by thresholds that an earlier run has set."""
     return cells.withColumns({f"{m}_positive": F.coalesce(F.col(columns[m]) > t, F.lit(False)) for m, t in thresholds.items()})

@@ -199,7 +199,7 @@ def test_stream(spark, tmp_path):
     source = str(tmp_path / "in")
     spots = spark.createDataFrame([(1, [2.0 if b == "1" else 1.0 for b in decode.CODES[0]])], "spot_id long, snr array<double>")
     spots.write.parquet(source)
-    stream = incremental.decode_stream(incremental.read_stream(spark, source, "spot_id long, snr array<double>"), decode.ROUND_1)
+    stream = decode.decode(incremental.read_stream(spark, source, "spot_id long, snr array<double>"), decode.ROUND_1)
     for expected in (1, 2):
         incremental.append(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / "out")).count() == expected
