@@ -1,12 +1,8 @@
-"""Suffix-array dedup: repeated byte strings by ranking suffixes at growing lengths.
+"""Suffix-array dedup: repeated byte strings from sparse suffixes, in place of prefix doubling over all of them.
 
-Prefix doubling names every suffix by its first h bytes, then by pairs of names at growing offsets, until names are unique
-or the threshold (100 bytes) is passed. Here a round is a Spark sort of (name, next name, document) rows as described in `repeats`: the first
-length is an anchor of 36 bytes, the second all bytes around it that windows with this anchor cover, and the last
-the windows of 100 bytes. Suffixes that are unique at a length leave, and equal ones are settled together.
-
-It departs from the textbook in one thing: only suffixes at anchors are sorted, about one in 33, as each 100-byte string has
-exactly one anchor; rows for all suffixes would be some 30 times the input. The result is that of all suffixes.
+`ranks` has prefix doubling as such; its rows for all suffixes take many times the disk of the input. Here only suffixes at anchors are compared, about
+one in 33, as each 100-byte string has exactly one anchor (see `repeats`): by hashes of 36 bytes, then of all bytes around the anchor that windows with it
+cover, and last of windows of 100 bytes. There are no ranks and no pairs of ranks. Suffixes that are unique at a length leave. The result is that of all suffixes.
 
 Contract of the query: a byte goes if a 100-byte string covers it that also starts earlier (in a document with a smaller doc_id, or
 earlier in the same document). Strings don't cross documents.
