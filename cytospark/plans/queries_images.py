@@ -128,7 +128,11 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return I.otsu(pixels(spark, d), BY)
 
 
-@query("I13_segment")
+@query(
+    "I13_segment",
+    _labels(_OTSU) + """SELECT fov, i, j, CAST(dense_rank() OVER (PARTITION BY fov ORDER BY label) AS INT) AS label
+FROM (SELECT *, count(*) OVER (PARTITION BY fov, label) AS n FROM lb) WHERE n BETWEEN 3 AND 5000""",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
     return I.segment(pixels(spark, d), BY, WIDTH, 3, 5000)
 
