@@ -184,10 +184,14 @@ def otsu(pixels: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def label_components(mask: DataFrame, by: Sequence[str], width: int) -> DataFrame:
     """(by, i, j, label): 4-connected components of the mask's pixels, labelled from 1 in each image by their first pixel."""
-    image = F.dense_rank().over(W.orderBy(*by)).cast("bigint") if by else F.lit(1).cast("bigint")
-    images = materialize(mask.select(*by).distinct().withColumn("image", image), "images")
-    node = F.col("image") * (1 << 40) + F.col("i").cast("bigint") * width + F.col("j")
-    nodes = materialize(mask.select(*by, "i", "j").join(images, list(by)).withColumn("node", node), "mask")
+    # an image's number is its task's and its row there, packed, so that no task sees all images
+    images = materialize(mask.select(*by).distinct().withColumn("__id", F.monotonically_increasing_id()), "images")
+    task, row = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    tasks = images.agg(F.coalesce(F.max(task), F.lit(0)) + 1).first()[0]
+    images = images.select(*by, (row * tasks + task).alias("__image"))
+    node = F.col("__image") * (1 << 32) + F.col("i").cast("bigint") * width + F.col("j")
+    pixels = mask.select(*by, "i", "j")
+    nodes = materialize((pixels.join(images, list(by)) if by else pixels.crossJoin(images)).withColumn("node", node), "mask")
     step = F.explode(F.array_compact(F.array(F.when(F.col("j") + 1 < width, F.col("node") + 1), F.col("node") + width))).alias("v")
     edges = nodes.select(F.col("node").alias("u"), step).join(nodes.select(F.col("node").alias("v")), "v", "left_semi")
     roots = components(edges).withColumnRenamed("u", "node")

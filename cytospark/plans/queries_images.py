@@ -31,13 +31,19 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: Orders of an image; each image has three channels, and each channel of an image is a field, so that fields grow in number with the table.
+ORDERS, CHANNELS = 15_000, 3
+_PLACE = (f"cast(l_orderkey div {ORDERS} * {CHANNELS} + l_suppkey % {CHANNELS} as int) AS fov", "cast(l_orderkey % 96 as int) AS i", "cast(l_partkey % 96 as int) AS j")
+_PLACE_SQL = f"CAST(l_orderkey // {ORDERS} * {CHANNELS} + l_suppkey % {CHANNELS} AS INT) AS fov, CAST(l_orderkey % 96 AS INT) AS i, CAST(l_partkey % 96 AS INT) AS j"
+
+
 def pixels(spark: SparkSession, d: str) -> DataFrame:
-    """Pixels of three fields, from order lines."""
-    lines = table(spark, d, "lineitem").select(F.expr("cast(l_suppkey % 3 as int)").alias("fov"), F.expr("cast(l_orderkey % 96 as int)").alias("i"), F.expr("cast(l_partkey % 96 as int)").alias("j"), F.col("l_quantity").cast("double").alias("v"))
+    """Pixels of all fields, from order lines."""
+    lines = table(spark, d, "lineitem").select(*map(F.expr, _PLACE), F.col("l_quantity").cast("double").alias("v"))
     return I.dense(lines.groupBy("fov", "i", "j").agg(F.sum("v").alias("v")), BY, HEIGHT, WIDTH)
 
 
-_PIXELS = """px0 AS (SELECT CAST(l_suppkey % 3 AS INT) AS fov, CAST(l_orderkey % 96 AS INT) AS i, CAST(l_partkey % 96 AS INT) AS j, sum(CAST(l_quantity AS DOUBLE)) AS v FROM lineitem GROUP BY 1, 2, 3),
+_PIXELS = f"""px0 AS (SELECT {_PLACE_SQL}, sum(CAST(l_quantity AS DOUBLE)) AS v FROM lineitem GROUP BY 1, 2, 3),
 px AS (SELECT f.fov, a.i, b.j, coalesce(v, 0) AS v FROM (SELECT DISTINCT fov FROM px0) f, (SELECT CAST(unnest(range(96)) AS INT) AS i) a, (SELECT CAST(unnest(range(96)) AS INT) AS j) b LEFT JOIN px0 ON px0.fov = f.fov AND px0.i = a.i AND px0.j = b.j)"""
 
 
@@ -156,12 +162,12 @@ def _expanded(spark: SparkSession, d: str) -> DataFrame:
 def _spots(spark: SparkSession, d: str) -> DataFrame:
     """Every order line is a spot, odd line numbers in the first channel."""
     channel = F.when(F.col("l_linenumber") % 2 == 1, "barcode1").otherwise("barcode2").alias("channel")
-    return table(spark, d, "lineitem").select(F.expr("cast(l_suppkey % 3 as int)").alias("fov"), F.expr("cast(l_orderkey % 96 as int)").alias("i"), F.expr("cast(l_partkey % 96 as int)").alias("j"), channel)
+    return table(spark, d, "lineitem").select(*map(F.expr, _PLACE), channel)
 
 
 _CLASSES = (
     _labels(_TOP).rstrip()
-    + """, ss AS (SELECT CAST(l_suppkey % 3 AS INT) AS fov, CAST(l_orderkey % 96 AS INT) AS i, CAST(l_partkey % 96 AS INT) AS j, 2 - l_linenumber % 2 AS ch FROM lineitem),
+    + f""", ss AS (SELECT {_PLACE_SQL}, 2 - l_linenumber % 2 AS ch FROM lineitem),
 sc AS (SELECT lb.fov, label, count(*) FILTER (ch = 1) AS a, count(*) FILTER (ch = 2) AS b FROM lb LEFT JOIN ss ON ss.fov = lb.fov AND ss.i = lb.i AND ss.j = lb.j GROUP BY 1, 2), cl AS (SELECT *, CASE WHEN a >= 4 AND b >= 4 THEN 'both_barcodes' WHEN a >= 4 THEN 'barcode1_only' WHEN b >= 4 THEN 'barcode2_only' ELSE 'no_barcode' END AS classification FROM sc) """
 )
 
@@ -205,14 +211,14 @@ _GRID = (40.0, 60.0, 80.0, 100.0)
     "I10_marker_thresholds",
     with_(
         _PIXELS,
-        "h AS (SELECT CASE WHEN fov = 0 THEN 'negative' ELSE 'positive' END AS field, v FROM px WHERE v > 40)",
+        f"h AS (SELECT CASE WHEN fov % {CHANNELS} = 0 THEN 'negative' ELSE 'positive' END AS field, v FROM px WHERE v > 40)",
         f"g AS (SELECT unnest({list(_GRID)!r}::DOUBLE[]) AS t)",
         "c AS (SELECT t, count_if(field = 'negative' AND v > t) / 0.5::DOUBLE AS n, count_if(field = 'positive' AND v > t) / 1.0::DOUBLE AS p FROM g, h GROUP BY 1)",
     )
     + f"SELECT t AS threshold, {r('n')} AS neg_matches_per_mpx, {r('p')} AS pos_matches_per_mpx, {r('p / nullif(n, 0)')} AS enrichment, n <= 900 AND p >= 0.5 AS passes_policy, {r('coalesce(p / nullif(n, 0), 0) + CASE WHEN n <= 900 AND p >= 0.5 THEN 1000 ELSE 0 END')} AS selection_score FROM c",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
-    hits = pixels(spark, d).where("v > 40").select(F.when(F.col("fov") == 0, "negative").otherwise("positive").alias("field"), "v")
+    hits = pixels(spark, d).where("v > 40").select(F.when(F.col("fov") % CHANNELS == 0, "negative").otherwise("positive").alias("field"), "v")
     out = D.threshold_table(hits, _GRID, "v", (0.5, 1.0), True, max_negative=900.0)
     return out.withColumn("enrichment", F.when(F.col("enrichment") < float("inf"), F.col("enrichment")))
 

@@ -9,6 +9,7 @@ from ..functions import stats as S
 from ..functions.columns import percent, pool_cell_type, region_key, rounded
 from ..operators import cluster as C
 from ..operators import decode as D
+from ..operators import imaging as I
 from ..operators import neighbors as N
 from ..operators.relational import cross_share, melt, share, union_columns
 from ..schemas import LNP_REGIONS, REFERENCE_REGIONS, Codebook
@@ -18,7 +19,7 @@ from ..sources.scratch import materialize, shared_folder
 from . import expression as E
 from . import sections as X
 from . import uptake as U
-from .queries_images import HEIGHT, pixels
+from .queries_images import CHANNELS, HEIGHT, WIDTH, pixels
 from .queries_spatial import KINDS
 from .queries_tables import _MARKED as MARKED_SQL
 from .sql import CALLS, CELLS, DETAIL, GATES, r, with_
@@ -99,6 +100,15 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return _against(spark, d)
 
 
+#: Average ranks of both shares; the p-values are left to the operator's own tests.
+@query(
+    "G14_rank_correlation",
+    _CORR.rstrip() + ", k AS (SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0::DOUBLE AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0::DOUBLE AS rb FROM z) " + f"SELECT count(*) AS n, {r('corr(ra, rb)')} AS spearman_rho FROM k",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return X.correlations(_against(spark, d)).select("n", "spearman_rho")
+
+
 @query("G14_correlations")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return X.correlations(_against(spark, d))
@@ -132,7 +142,28 @@ def _section(spark: SparkSession, d: str, kind: str, gate: str | None, neighbor:
     return X.target_section(c, X.positive_of(c, kind, gate), neighbor, _MARKERS)
 
 
-@query("G23_dc_cd8_section")
+def _section_sql(gate: str, neighbor: str) -> str:
+    """Pairs (q) of gated dendritic cells with the nearest cells of a type, and each neighbour's nearest pair (u)."""
+    near = "sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))"
+    return with_(
+        CELLS,
+        GATES,
+        f"tg AS (SELECT * FROM gated WHERE lnp_positive AND cell_type = 'DC' AND {gate})",
+        f"pr AS (SELECT a.lnp_region, a.lnp_call, a.cell_id AS t, b.cell_id AS n, {near} AS d, row_number() OVER (PARTITION BY a.cell_id ORDER BY {near}, b.cell_id) AS k FROM tg a JOIN cells b ON a.lnp_region = b.lnp_region AND b.cell_type = '{neighbor}' AND a.cell_id <> b.cell_id)",
+        "q AS (SELECT * FROM pr WHERE k <= 10 AND d < 25)",
+        "u AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY n ORDER BY d, t) = 1)",
+    ).rstrip()
+
+
+_STATE = " UNION ALL ".join(f"SELECT c.lnp_region, lnp_call, '{m}' AS marker, {m} AS v FROM u JOIN (SELECT cell_id, lnp_region, {m} FROM cells) c ON c.cell_id = n" for m in _MARKERS)
+
+
+@query(
+    "G23_dc_cd8_section",
+    _section_sql("siin_pos", "CD8+ T")
+    + ", mt AS (SELECT lnp_region, lnp_call, t, count(DISTINCT n) AS c, median(d * 0.5) AS m FROM q GROUP BY 1, 2, 3) "
+    + f"SELECT lnp_region, lnp_call, count(*) AS n_targets, {r('avg(c)')} AS mean_neighbors, {r('median(m)')} AS median_distance_um FROM mt GROUP BY 1, 2",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
     return _section(spark, d, "DC", "SIINFEKL_positive", "CD8+ T")["spatial"]
 
@@ -142,7 +173,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return _section(spark, d, "DC", None, "CD8+ T")["spatial_tests"]
 
 
-@query("G24_dc_cd4_activation")
+@query("G24_dc_cd4_activation", _section_sql("ova_pos", "CD4+ T") + f", l AS ({_STATE}) SELECT lnp_region, lnp_call, marker, {r('avg(v)')} AS mean, {r('median(v)')} AS median, count(*) AS n_unique_neighbors FROM l GROUP BY 1, 2, 3")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return _section(spark, d, "DC", "OVA_positive", "CD4+ T")["state"]
 
@@ -185,8 +216,12 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 @query("G28_image_family")
 def _(spark: SparkSession, d: str) -> DataFrame:
     book = Codebook(("m0", "m1", "m2"), (("110", "A"), ("101", "B"), ("011", "C")), 2, 0)
-    px = materialize(pixels(spark, d).withColumn("marker", F.concat(F.lit("m"), F.col("fov").cast("string"))).withColumn("image", F.lit(0)).drop("fov"), "pixels")
-    centroids = spark.range(36).select(F.col("id").alias("cell"), (F.col("id") % 6 * 16 + 8).cast("double").alias("x"), (F.floor(F.col("id") / 6) * 16 + 8).cast("double").alias("y"), F.lit("0").alias("field"))
+    channel, image = F.format_string("m%d", F.col("fov") % CHANNELS), F.floor(F.col("fov") / CHANNELS).cast("int")
+    px = materialize(pixels(spark, d).withColumn("marker", channel).withColumn("image", image).drop("fov"), "pixels")
+    # cells are the bright parts of the channels together
+    total = px.groupBy("image", "i", "j").agg(F.sum("v").alias("v"))
+    name = F.format_string("%d|%d", "image", "label").alias("cell")
+    centroids = I.blobs(total, ["image"], WIDTH, 95.0, 2, 400).select(name, F.col("j").cast("double").alias("x"), F.col("i").cast("double").alias("y"), F.col("image").cast("string").alias("field"))
     return X.image_family(px, centroids, ["image"], "marker", book, HEIGHT, threshold=5.0, min_on=0.5, min_margin=0.0)[1].select("cell", "lnp_call", "lnp_positive", "barcode", "barcode_match_status", "total_barcode_spots")
 
 

@@ -166,6 +166,15 @@ def test_components(spark):
     assert components(edges.where("false")).count() == 0
 
 
+def test_labels_of_images_named_image(spark):
+    mask = spark.createDataFrame([(7, 0, 0), (7, 0, 1), (7, 4, 4), (9, 0, 1)], "image int, i int, j int")
+    want = [(7, 0, 0, 1), (7, 0, 1, 1), (7, 4, 4, 2), (9, 0, 1, 1)]
+    assert sorted(map(tuple, imaging.label_components(mask, ["image"], 8).collect())) == want
+    alone = imaging.label_components(mask.where("image = 7").drop("image"), [], 8).collect()
+    assert sorted(map(tuple, alone)) == [w[1:] for w in want[:3]]
+    assert imaging.label_components(mask.where("false"), ["image"], 8).count() == 0
+
+
 def test_contracts(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
     with pytest.raises(contracts.ContractError):
