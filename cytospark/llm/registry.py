@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .alignment import op12_tokenizer_alignment
 from .decontaminate import OP1_SQL, op1_decontaminate
 from .fingerprint_index import OP8_SQL, op8_fingerprint_index
 from .licenses import OP10_SQL, op10_license_scan
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_fingerprint_index": op8_fingerprint_index,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_license_scan": op10_license_scan,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
 ORACLES = {"op1_decontaminate": OP1_SQL, "op4_mix_sources": OP4_SQL, "op7_line_dedup": OP7_SQL, "op8_fingerprint_index": OP8_SQL, "op10_license_scan": OP10_SQL}
