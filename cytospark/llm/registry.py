@@ -13,6 +13,7 @@ from .pii import op5_personal_data
 from .simhash import op3_simhash_near_dedup
 from .suffix_doubling import op9_suffix_array_dedup
 from .toxicity import op2_toxicity
+from .whitening import op11_embedding_whitening
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_fingerprint_index": op8_fingerprint_index,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
 ORACLES = {"op1_decontaminate": OP1_SQL, "op4_mix_sources": OP4_SQL, "op7_line_dedup": OP7_SQL, "op8_fingerprint_index": OP8_SQL, "op10_license_scan": OP10_SQL}
