@@ -10,6 +10,7 @@ from .lines import OP7_SQL, op7_line_dedup
 from .merkle import op6_merkle_fingerprints
 from .mixing import OP4_SQL, op4_mix_sources
 from .pii import op5_personal_data
+from .quality import op13_quality_classifier
 from .simhash import op3_simhash_near_dedup
 from .suffix_doubling import op9_suffix_array_dedup
 from .toxicity import op2_toxicity
@@ -28,5 +29,6 @@ QUERIES = {
     "op10_license_scan": op10_license_scan,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 ORACLES = {"op1_decontaminate": OP1_SQL, "op4_mix_sources": OP4_SQL, "op7_line_dedup": OP7_SQL, "op8_fingerprint_index": OP8_SQL, "op10_license_scan": OP10_SQL}
