@@ -75,8 +75,8 @@ def runs_of(spec: Spec, texts: list[bytes]) -> Runs:
         symbols = byte_symbols(blob)
         first, last = bounds[:-1], bounds[1:] - 1
     size, none = len(symbols), np.zeros(0, np.int64)
-    roll = Rolling(symbols)
-    if size < spec.n:
+    roll, long = Rolling(symbols), last - first >= spec.n
+    if not long.any():  # all texts together may be long enough
         return Runs(blob, starts, ends, first, last, roll, none, none, none, none.view(np.uint64), none.view(np.uint64))
     at = np.arange(size - spec.k + 1)
     grams = roll(at, at + spec.k)
@@ -87,7 +87,6 @@ def runs_of(spec: Spec, texts: list[bytes]) -> Runs:
         least = np.minimum(least[:-step], least[step:])
         width += step
     change = np.zeros(size + 1, np.int64)
-    long = last - first >= spec.n
     change[first[long]] += 1
     change[last[long] - spec.n + 1] -= 1
     windows = np.flatnonzero(np.cumsum(change[: len(least)]) > 0)

@@ -87,10 +87,9 @@ def by_text(rows):
 def test_decontamination_edges(spark, edge, part_bytes):
     items = [(1, PASSAGE), (2, "short"), (3, None), (None, "w1 w2 w3 w4 w5"), (5, ""), (1, PASSAGE)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = decontaminate.find_matches(edge.select("doc_id", "text"), bench, part_bytes)
-    got = found.select("doc_id", "__n_words", "__hits").mapInArrow(decontaminate._digest, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string")
+    got = decontaminate.contamination(edge, bench, part_bytes)
     want = contaminated([(i, t) for i, t, _ in EDGE], items)
-    assert by_text(tuple(r) for r in got.collect()) == by_text(w[:5] for w in want)
+    assert by_text(tuple(r) for r in got.collect()) == by_text(want)
     assert decontaminate.remove_contaminated(edge, bench).columns == edge.columns
     longest = {(r.doc_id, r.item_id): (r.doc_word, r.n_words) for r in decontaminate.longest_matches(edge, bench).collect()}
     assert longest[5, "1"] == (1, 15) and longest[6, "1"] == (0, 15)
