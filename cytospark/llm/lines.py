@@ -74,7 +74,10 @@ def html_lines(html: Column) -> Column:
 
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)", 1))
+    """The host of a URL, lower case: what comes after the scheme and `//` (or, without them, from the start) up to the first of `/?#`, without a user before the last `@`
+    and without a port. An address in brackets keeps them; a null URL has no host, and one without authority the host ``""``.
+    """
+    return F.lower(F.regexp_extract(url, r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//)?(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#@]*?)(?::[0-9]*)?(?=[/?#]|$)", 1))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,11 +89,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP7_SQL = r"""
-WITH p AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1)) AS host,
+WITH a AS (SELECT *, list_extract(string_split(string_split_regex(regexp_replace(url, '^([A-Za-z][A-Za-z0-9+.-]*:)?//', ''), '[/?#]')[1], '@'), -1) AS place FROM pages),
+p AS (SELECT page_id, lower(CASE WHEN contains(place, ':') AND ltrim(list_extract(string_split(place, ':'), -1), '0123456789') = '' THEN left(place, length(place) - length(list_extract(string_split(place, ':'), -1)) - 1) ELSE place END) AS host,
   list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(html,
     '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', chr(10), 'g'),
     '(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|hr|tr|td|th|table|article|section|nav|header|footer|main|aside|title|head|body|html)\b[^>]*>', chr(10), 'g'),
-    '<[^>]*>', '', 'g'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS ls FROM pages),
+    '<[^>]*>', '', 'g'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS ls FROM a),
 n AS (SELECT host, count(*) AS pages FROM p GROUP BY 1),
 b AS (SELECT q.host, line FROM (SELECT host, unnest(list_distinct(ls)) AS line FROM p) q JOIN n ON q.host IS NOT DISTINCT FROM n.host GROUP BY q.host, line, pages HAVING count(*) >= 2 AND count(*) > pages * 0.1::DOUBLE),
 bl AS (SELECT host, list(line) AS gone FROM b GROUP BY 1),
