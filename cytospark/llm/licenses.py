@@ -133,7 +133,7 @@ def scan(documents: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES
     key = F.when(F.col("short"), _short_keys(F.col("m"), _hashes(F.col("template")))).otherwise(_keys(F.col("m"), _hashes(F.col("template")), F.col("bands")))
     wanted = known.select("template_id", "template", F.explode(key).alias("key"))
     wanted_keys = sorted({r[0] for r in wanted.select("key").collect()})
-    lower, any_marked = F.lower("text"), F.lit(False)
+    lower, any_marked = F.translate("text", _UPPER, _LOWER), F.lit(False)
     for x in sorted({x for some in marked.values() for x in some}):
         any_marked = any_marked | F.contains(lower, F.lit(x))
     docs = documents.select("doc_id", "text").where(any_marked)
