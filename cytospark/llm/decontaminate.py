@@ -3,8 +3,8 @@
 Each task keeps a suffix array of its block of documents: word positions in the order of the words that follow
 them. Every suffix of the benchmark is looked up in it by binary search, which finds each place where the
 benchmark's words occur. The array is sparse: it leaves out the positions whose first words are no words
-of the benchmark in this order, as no search can end there. Words are compared by number, and each match is
-compared again by its bytes.
+of the benchmark in this order, as no search can end there. Words are compared by number, and those that get a number
+by their hash are compared by their bytes. What is kept of a block grows with its words and with the items found in a text, not with items times places.
 
 The benchmark goes to the executors in parts of at most `PART_BYTES`, one pass of the same stage for each part,
 so that what is broadcast has a bound whatever the benchmark's size. Documents are never shuffled.
@@ -16,13 +16,12 @@ Other columns of the documents pass through.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +46,8 @@ HITS = T.ArrayType(
         ]
     )
 )
+SPANS = T.ArrayType(T.StructType([T.StructField("word", T.IntegerType()), T.StructField("n_words", T.IntegerType())]))
+_ARROW_SPANS = pa.list_(pa.struct([("word", pa.int32()), ("n_words", pa.int32())]))
 _ARROW_HITS = pa.list_(pa.struct([("item", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("n_words", pa.int32())]))
 
 
@@ -114,30 +115,55 @@ def _keys(sequence: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return np.ascontiguousarray(rows).view(f"S{4 * n}").ravel()
 
 
-def search_block(q: Queries, texts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, list[list[tuple[str, int, int, int]]]]:
-    """Words of each text, and its matches as (item, word in the item, word in the text, words)."""
+class Found(NamedTuple):
+    """What a block of texts shares with the benchmark."""
+
+    counts: np.ndarray
+    spans: list[list[tuple[int, int]]]
+    hits: list[list[tuple[str, int, int, int]]]
+
+
+def _same_bytes(q: Queries, blob: np.ndarray, starts: np.ndarray, ends: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Whether each word has the bytes of the benchmark word of its number."""
+    words, bounds = join_texts(q.vocabulary)
+    size = bounds[number + 1] - 1 - bounds[number]
+    out = size == ends - starts
+    starts, number, size = starts[out], number[out], size[out]
+    begin = np.cumsum(size) - size
+    step = np.arange(size.sum()) - np.repeat(begin, size)
+    equal = blob[np.repeat(starts, size) + step] == words[np.repeat(bounds[number], size) + step]
+    if len(size):
+        out[out] = np.logical_and.reduceat(equal, begin)
+    return out
+
+
+def search_block(q: Queries | None, texts: list[bytes], window: int = WINDOW) -> Found:
+    """Words of each text, its words inside windows as spans (word, words), and its longest match with each item as (item, word in the item, word in the text, words)."""
     blob, bounds = join_texts([t.lower() for t in texts])
     starts, ends, before = words_of(blob, bounds, ALNUM_LOWER)
-    counts, hits = np.diff(before), [[] for _ in texts]
-    if not len(starts):
-        return counts, hits
+    counts = np.diff(before)
+    none = Found(counts, [[] for _ in texts], [[] for _ in texts])
+    if q is None or not len(starts):
+        return none
     hashes = Rolling(byte_symbols(blob))(starts, ends)
     seen = np.zeros(1 << 16, bool)
     seen[q.hashes & np.uint64(0xFFFF)] = True
     maybe = np.flatnonzero(seen[hashes & np.uint64(0xFFFF)])
     place = np.minimum(np.searchsorted(q.hashes, hashes[maybe]), len(q.hashes) - 1)
     same = q.hashes[place] == hashes[maybe]
+    maybe, number = maybe[same], q.numbers[place[same]]
+    same = _same_bytes(q, blob, starts[maybe], ends[maybe], number)
     # words by number, with an unknown one after each text so that no match leaves it
     doc_of = np.repeat(np.arange(len(texts)), counts)
-    sequence = np.full(len(starts) + len(texts) + window, -1, np.int64)
-    slot = np.arange(len(starts)) + doc_of
-    sequence[slot[maybe[same]]] = q.numbers[place[same]]
+    size = len(starts) + len(texts)
+    sequence = np.full(size + window, -1, np.int64)
+    sequence[maybe[same] + doc_of[maybe[same]]] = number[same]
     keys = _head_keys(sequence, q.head, len(q.vocabulary) + 1)
     found = np.minimum(np.searchsorted(q.heads, keys), len(q.heads) - 1)
     suffixes = np.flatnonzero((keys >= 0) & (q.heads[found] == keys))
-    suffixes = suffixes[suffixes < len(starts) + len(texts)]
+    suffixes = suffixes[suffixes < size]
     if not len(suffixes):
-        return counts, hits
+        return none
     suffix_keys = _keys(sequence, suffixes, window)
     order = np.argsort(suffix_keys, kind="stable")
     suffixes, suffix_keys = suffixes[order], suffix_keys[order]
@@ -148,29 +174,65 @@ def search_block(q: Queries, texts: list[bytes], window: int = WINDOW) -> tuple[
     high[np.arange(window) >= q.lengths[:, None]] = 0xFFFFFFFF
     as_keys = lambda x: np.ascontiguousarray(x).view(f"S{4 * window}").ravel()
     first, last = np.searchsorted(suffix_keys, as_keys(low), "left"), np.searchsorted(suffix_keys, as_keys(high), "right")
-    raw, slot_word = blob.tobytes(), np.full(len(sequence), -1, np.int64)
-    slot_word[slot] = np.arange(len(starts))
-    for w in np.flatnonzero(last > first).tolist():
-        n, item, at = int(q.lengths[w]), int(q.item_of[w]), int(q.at[w])
-        expected = [q.vocabulary[v] for v in q.sequence[at : at + n].tolist()]
-        for p in suffixes[first[w] : last[w]].tolist():
-            word = int(slot_word[p])
-            if [raw[s:e] for s, e in zip(starts[word : word + n].tolist(), ends[word : word + n].tolist(), strict=True)] == expected:
-                d = int(doc_of[word])
-                hits[d].append((item, at - int(q.item_start[item]), word - int(before[d]), n))
-    return counts, [_maximal(h, q.items) for h in hits]
-
-
-def _maximal(hits: list[tuple[int, int, int, int]], items: list[str]) -> list[tuple[str, int, int, int]]:
-    """Windows that follow each other word by word in both texts become one match, as long as it goes."""
-    out: list[list[int]] = []
-    for item, item_word, doc_word, n in sorted(hits, key=lambda h: (h[0], h[2] - h[1], h[2])):
-        last = out[-1] if out else None
-        if last and last[0] == item and last[2] - last[1] == doc_word - item_word and doc_word + n == last[2] + last[3] + 1:
-            last[3] += 1
+    hit = np.flatnonzero(last > first)
+    # each window's places are a slice of the suffix array; equal windows share it, and cover once
+    change = np.zeros(size + window + 1, np.int64)
+    for a, b, n in set(zip(first[hit].tolist(), last[hit].tolist(), q.lengths[hit].tolist(), strict=True)):
+        change[suffixes[a:b]] += 1
+        change[suffixes[a:b] + n] -= 1
+    cover = np.cumsum(change) > 0
+    step = np.diff(cover.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
+    text_start = before[:-1] + np.arange(len(texts))
+    doc_at = np.repeat(np.arange(len(texts)), counts + 1)
+    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for a, b in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), strict=True):
+        spans[doc_at[a]].append((a - int(text_start[doc_at[a]]), b - a))
+    return Found(counts, spans, _longest(q, hit, first, last, suffixes, doc_at, text_start))
+
+
+def _longest(q: Queries, hit: np.ndarray, first: np.ndarray, last: np.ndarray, suffixes: np.ndarray, doc_at: np.ndarray, text_start: np.ndarray) -> list[list[tuple[str, int, int, int]]]:
+    """The longest match of each text with each item; of equal ones that which comes first in the text, then in the item.
+
+    Windows that follow each other in both texts are one match: an item is gone through window by window, with how far back the match at each place goes.
+    """
+    hits: list[list[tuple[str, int, int, int]]] = [[] for _ in text_start]
+    cuts = np.flatnonzero(np.diff(q.item_of[hit])) + 1
+    for windows in np.split(hit, cuts) if len(hit) else []:
+        best, best_at, item = np.zeros(len(text_start), np.int64), np.zeros(len(text_start), np.int64), int(q.item_of[windows[0]])
+        places, run, previous = np.zeros(0, np.int64), np.zeros(0, np.int64), -2
+        for w in windows.tolist():
+            now = np.sort(suffixes[first[w] : last[w]])
+            if w == previous + 1:
+                at = np.minimum(np.searchsorted(places, now - 1), len(places) - 1)
+                run = np.where(places[at] == now - 1, run[at] + 1, 0)
+            else:
+                run = np.zeros(len(now), np.int64)
+            places, previous = now, w
+            doc = doc_at[now]
+            # longer ones are larger, then those that begin earlier
+            score = ((q.lengths[w] + run) << 32) | (0xFFFFFFFF - (now - run - text_start[doc]))
+            top = np.zeros(len(best), np.int64)
+            np.maximum.at(top, doc, score)
+            better = top > best
+            best_at[better] = int(q.at[w] - q.item_start[item]) - ((top[better] >> 32) - q.lengths[w])
+            best[better] = top[better]
+        for d in np.flatnonzero(best).tolist():
+            hits[d].append((q.items[item], int(best_at[d]), 0xFFFFFFFF - int(best[d] & 0xFFFFFFFF), int(best[d] >> 32)))
+    return hits
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same words in spans that don't overlap."""
+    out: list[tuple[int, int]] = []
+    for a, n in sorted(spans):
+        if out and a <= out[-1][0] + out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], a + n - out[-1][0]))
         else:
-            out.append([item, item_word, doc_word, n])
-    return [(items[i], a, d, n) for i, a, d, n in out]
+            out.append((a, n))
+    return out
+
+
+_COLUMNS = ("__n_words", "__spans", "__hits")
 
 
 def _searcher(part, schema: pa.Schema, first: bool):
@@ -178,10 +240,12 @@ def _searcher(part, schema: pa.Schema, first: bool):
         q = Queries(**part.value) if part.value else None
         for batch, texts in text_blocks(batches):
             columns = {n: batch.column(n) for n in batch.schema.names}
-            counts, hits = search_block(q, texts) if q else (np.diff(words_of(*join_texts([t.lower() for t in texts]), ALNUM_LOWER)[2]), [[] for _ in texts])
+            counts, spans, hits = search_block(q, texts)
             if not first:
                 hits = [[tuple(x.values()) for x in old] + new for old, new in zip(columns["__hits"].to_pylist(), hits, strict=True)]
+                spans = [_merged([tuple(x.values()) for x in old] + new) for old, new in zip(columns["__spans"].to_pylist(), spans, strict=True)]
             columns["__n_words"] = pa.array(counts, pa.int64())
+            columns["__spans"] = pa.array([[dict(zip(("word", "n_words"), x, strict=True)) for x in h] for h in spans], _ARROW_SPANS)
             columns["__hits"] = pa.array([[dict(zip(("item", "item_word", "doc_word", "n_words"), x, strict=True)) for x in h] for h in hits], _ARROW_HITS)
             yield pa.RecordBatch.from_arrays([columns[n].cast(schema.field(n).type) if columns[n].type != schema.field(n).type else columns[n] for n in schema.names], schema=schema)
 
@@ -189,7 +253,7 @@ def _searcher(part, schema: pa.Schema, first: bool):
 
 
 def find_matches(documents: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """`documents` with `__n_words` and `__hits`: the maximal verbatim matches of a window or more in each text."""
+    """`documents` with `__n_words`, `__spans`, the words inside windows, and `__hits`, the longest verbatim match (of a window or more) of each text with each item."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = documents.sparkSession
@@ -200,30 +264,21 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, part_bytes: int = P
     for p in range(parts):
         rows = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p)
         q = prepare([tuple(r) for r in rows.collect()])
-        schema = T.StructType([f for f in out.schema.fields if f.name not in ("__n_words", "__hits")])
-        schema = schema.add("__n_words", T.LongType()).add("__hits", HITS)
+        schema = T.StructType([f for f in out.schema.fields if f.name not in _COLUMNS])
+        schema = schema.add("__n_words", T.LongType()).add("__spans", SPANS).add("__hits", HITS)
         out = out.mapInArrow(_searcher(spark.sparkContext.broadcast(q and q._asdict()), to_arrow_schema(schema), p == 0), schema)
     return out
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n_hit, n_items, digests = [], [], []
-        for hits in batch.column("__hits").to_pylist():
-            words, ids = set(), set()
-            for h in hits:
-                words.update(range(h["doc_word"], h["doc_word"] + h["n_words"]))
-                ids.add(h["item"])
-            n_hit.append(len(words))
-            n_items.append(len(ids))
-            digests.append(hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__n_words"), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string())], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256"])
+def _n_hit() -> Column:
+    return F.aggregate("__spans", F.lit(0).cast("bigint"), lambda n, x: n + x["n_words"])
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(documents: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """One row for each document: its words, those inside benchmark windows, the items, and the verdict."""
-    found = find_matches(documents.select("doc_id", "text"), benchmark)
-    out = found.select("doc_id", "__n_words", "__hits").mapInArrow(_digest, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string")
+    found = find_matches(documents.select("doc_id", "text"), benchmark, part_bytes)
+    items = F.array_sort(F.array_distinct(F.col("__hits.item")))
+    out = found.select("doc_id", F.col("__n_words").alias("n_words"), _n_hit().alias("n_hit"), F.size(items).cast("bigint").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(ONE_IN) * F.col("n_hit") >= F.col("n_words")))
 
 
@@ -241,8 +296,7 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame
     """The documents, all columns, without those that are contaminated."""
     docs = numbered(documents, "doc_id", "text")
     found = find_matches(docs, benchmark)
-    hit_words = F.size(F.array_distinct(F.flatten(F.transform("__hits", lambda h: F.sequence(h["doc_word"], h["doc_word"] + h["n_words"] - 1)))))
-    n_hit = F.when(F.size("__hits") > 0, hit_words).otherwise(0)
+    n_hit = _n_hit()
     return restored(found.where(~((n_hit > 0) & (F.lit(ONE_IN) * n_hit >= F.col("__n_words")))), docs, documents)
 
 
