@@ -39,11 +39,11 @@ from .common import materialize, table, text_blocks
 #: Where the vocabularies are; they are read on the driver and sent to the tasks (2 MB).
 TOKENIZERS = "/opt/tokenizers"
 #: Bytes of text in a block.
-BLOCK = 2_000_000
+BLOCK = 1_500_000
 #: Bytes of pieces that are encoded as one text.
 CHUNK = 4096
 
-_BLOCKS = "block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, digest array<string>, n_links array<int>, links array<int>, pairs array<bigint>, times array<bigint>"
+_BLOCKS = "block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, digest array<string>, n_links array<int>, links binary, pairs array<bigint>, times array<bigint>"
 
 
 def _byte_of_symbol() -> dict[str, int]:
@@ -212,6 +212,11 @@ def _lists(*columns: np.ndarray | list, types: list[pa.DataType]) -> list[pa.Arr
     return [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c, t)) for c, t in zip(columns, types, strict=True)]
 
 
+def _code(pairs: int) -> str:
+    """How a place in a list of so many pairs is packed."""
+    return "<u2" if pairs <= 1 << 16 else "<u4"
+
+
 def _align(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, block = _pair(*sent.value), TaskContext.get().partitionId() << 33
@@ -224,15 +229,16 @@ def _align(sent):
             counts = pa.table({"code": codes.indices}).group_by("code", use_threads=False).aggregate([([], "count_all")]).sort_by("code")
             sizes = [t.value_lengths().to_numpy() for t in tokens]
             long = pa.int64()
-            columns = _lists(batch.column("doc_id"), *sizes, n_links, _digests(pair, tokens, links), n_links, codes.indices, codes.dictionary, counts["count_all"].combine_chunks(), types=[long, long, long, long, pa.string(), pa.int32(), pa.int32(), long, long])
-            yield pa.RecordBatch.from_arrays([pa.array([block], long), *columns], ["block", "doc_id", "n_a", "n_b", "n_groups", "digest", "n_links", "links", "pairs", "times"])
+            columns = _lists(batch.column("doc_id"), *sizes, n_links, _digests(pair, tokens, links), n_links, codes.dictionary, counts["count_all"].combine_chunks(), types=[long, long, long, long, pa.string(), pa.int32(), long, long])
+            packed = pa.array([codes.indices.to_numpy().astype(_code(len(codes.dictionary))).tobytes()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([block], long), *columns[:6], packed, *columns[6:]], ["block", "doc_id", "n_a", "n_b", "n_groups", "digest", "n_links", "links", "pairs", "times"])
             block += 1
 
     return run
 
 
 def align(documents: DataFrame, tokenizers: tuple[bytes, bytes]) -> DataFrame:
-    """A row for each block of documents: their figures, their links as places in the block's `pairs` (A's id << 32 | B's id), and how often it has each. Written out."""
+    """A row for each block of documents: their figures, their links as packed places in the block's `pairs` (A's id << 32 | B's id), and how often it has each. Written out."""
     sent = documents.sparkSession.sparkContext.broadcast(tokenizers)
     return materialize(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_align(sent), _BLOCKS), "blocks")
 
@@ -249,9 +255,10 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents from rows of blocks and the counts of their pairs."""
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {n: batch.column(n)[i].values for n in ("doc_id", "n_a", "n_b", "n_groups", "digest", "n_links", "links")}
-            n, links = row["n_links"].to_numpy(), row["links"].to_numpy()
-            count, best = np.zeros(len(batch.column("pairs")[i]), np.int64), np.zeros(len(batch.column("pairs")[i]), np.int64)
+            row = {n: batch.column(n)[i].values for n in ("doc_id", "n_a", "n_b", "n_groups", "digest", "n_links")}
+            n, pairs = row["n_links"].to_numpy(), batch.column("n_pairs")[i].as_py()
+            links = np.frombuffer(batch.column("links")[i].as_buffer(), _code(pairs))
+            count, best = np.zeros(pairs, np.int64), np.zeros(pairs, np.int64)
             if (replies := batch.column("replies")[i]).is_valid:
                 code = replies.values.field("code").to_numpy()
                 count[code] = replies.values.field("count").to_numpy()
@@ -265,7 +272,7 @@ def documents_of(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each document."""
     asked = blocks.select("block", F.posexplode("pairs").alias("code", "pair"))
     replies = asked.join(counts.select("pair", "count", "best"), "pair").groupBy("block").agg(F.collect_list(F.struct("code", "count", "best")).alias("replies"))
-    joined = blocks.select("block", "doc_id", "n_a", "n_b", "n_groups", "digest", "n_links", "links", "pairs").join(replies, "block", "left")
+    joined = blocks.select("block", "doc_id", "n_a", "n_b", "n_groups", "digest", "n_links", "links", F.size("pairs").alias("n_pairs")).join(replies, "block", "left")
     return joined.mapInArrow(_sums, "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string")
 
 
