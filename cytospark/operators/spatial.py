@@ -1,4 +1,4 @@
-"""Exact neighbour joins in the plane by bucket equi-joins: within a radius, k nearest, and nearest one.
+"""Exact neighbour joins in the plane by bucket equi-joins: within a radius, and nearest one. `knn` has the k nearest.
 
 Points are rows with an id, x, y and a group column that neighbours share; coordinates must not be null. Ties are broken by id.
 """
@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from .knn import knn_pairs
+
+__all__ = ["keep_nearest", "knn_pairs", "nearest_within", "radius_pairs", "tile_of"]
 
 
 def _around(bucket: str) -> Column:
@@ -41,53 +43,6 @@ def nearest_within(targets: DataFrame, reference: DataFrame, radius: float, **op
     return best.select(group, "target_id", "b.neighbor_id", "b.distance")
 
 
-def knn_pairs(targets: DataFrame, reference: DataFrame, k: int, group: str = "lnp_region", keep: tuple[str, ...] = (), exclude_self: bool = True) -> DataFrame:
-    """(group, target_id, neighbor_id, rank, distance, neighbor_<keep>) of the k nearest reference points of each target.
-
-    Each round looks in three by three buckets. A target is settled when its k-th distance is less than that to the edge of
-    its block, or the block covers the group's extent; the others go on with buckets twice as wide. The reference is copied to
-    nine buckets and ranked where it is joined: one shuffle of each side for each round, and none for the ranking.
-    """
-    points = reference.select(group, F.col("cell_id"), "x", "y", *keep)
-    extent = points.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-    # nine buckets hold about 5.6 (k + 1) points, and the k-th neighbour is mostly nearer than one bucket's edge
-    area = F.greatest((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")), F.lit(1e-12))
-    edge = F.greatest(F.sqrt(area * (k + 1) / F.col("n") / 1.6), F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) / 1e6, F.lit(1e-9))
-    extent = materialize(extent.select(group, edge.alias("h"), "x0", "x1", "y0", "y1"), "extent")
-    left = targets.select(group, F.col("cell_id").alias("target_id"), F.col("x").alias("tx"), F.col("y").alias("ty"))
-    pool, done, wide = points, [], 1
-    while True:
-        h = F.col("h") * wide
-        grid = extent.select(group, h.alias("h"), "x0", "x1", "y0", "y1")
-        probe = left.join(grid, group).withColumn("bx", F.floor(F.col("tx") / F.col("h"))).withColumn("by", F.floor(F.col("ty") / F.col("h")))
-        near = _pool(pool.join(grid.select(group, "h"), group), group, "cell_id", list(keep), F.col("h"), [])
-        pairs = probe.join(near, [group, "bx", "by"])
-        if exclude_self:
-            pairs = pairs.where(F.col("neighbor_id") != F.col("target_id"))
-        d2 = (F.col("tx") - F.col("nx")) * (F.col("tx") - F.col("nx")) + (F.col("ty") - F.col("ny")) * (F.col("ty") - F.col("ny"))
-        own = W.partitionBy(group, "bx", "by", "target_id")
-        pairs = pairs.withColumn("d2", d2).withColumn("rank", F.row_number().over(own.orderBy("d2", "neighbor_id"))).where(F.col("rank") <= k)
-        low_x, low_y = (F.col("bx") - 1) * F.col("h"), (F.col("by") - 1) * F.col("h")
-        high_x, high_y = (F.col("bx") + 2) * F.col("h"), (F.col("by") + 2) * F.col("h")
-        inner = F.least(F.col("tx") - low_x, high_x - F.col("tx"), F.col("ty") - low_y, high_y - F.col("ty"))
-        whole = (low_x <= F.col("x0")) & (high_x > F.col("x1")) & (low_y <= F.col("y0")) & (high_y > F.col("y1"))
-        settled = whole | ((F.count(F.lit(1)).over(own) >= k) & (F.sqrt(F.max("d2").over(own)) < inner))
-        found = pairs.withColumn("settled", settled).select(group, "target_id", "neighbor_id", "rank", F.sqrt("d2").alias("distance"), *[f"neighbor_{c}" for c in keep], "settled")
-        found = materialize(found, "knn")
-        done.append(found.where("settled").drop("settled"))
-        # a target without any pair is left, too, unless its block covers everything
-        covered = probe.where(whole).select(group, "target_id")
-        left = left.join(found.where("settled").select(group, "target_id").distinct().unionByName(covered).distinct(), [group, "target_id"], "left_anti")
-        left = materialize(left.join(extent.select(group), group, "left_semi"), "left")
-        wide *= 2
-        if left.isEmpty():
-            break
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def keep_nearest(pairs: DataFrame, neighbor: str = "neighbor_id") -> DataFrame:
     """Each neighbour with its nearest target only, whatever the group; equal ones by target."""
     return pairs.withColumn("__n", F.row_number().over(W.partitionBy(neighbor).orderBy("distance", "target_id"))).where("__n = 1").drop("__n")
