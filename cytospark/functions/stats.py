@@ -7,11 +7,12 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from ..sources.scratch import materialize
 from .columns import ratio
+from .order import average_ranks, counts_below, same_keys
 
 
 def incomplete_beta(a: float, b: float, x: float) -> float:
@@ -87,9 +88,13 @@ def paired_t_test(df: DataFrame, group: str, groups: tuple[str, str], metric: st
 def signed_rank(df: DataFrame, group: str, groups: tuple[str, str], metric: str, by: Sequence[str] = (), unit: str = "lnp_region") -> DataFrame:
     """(by, n, w, ties, has_ties): Wilcoxon's smaller rank sum of a - b, without zeros; tied sizes share their mean rank."""
     d = pairs_of(df, by, unit, group, groups, metric).withColumn("d", F.round(F.col("a") - F.col("b"), 9)).where("d <> 0").withColumn("size", F.abs("d"))
-    order, same = W.partitionBy(*by).orderBy("size"), W.partitionBy(*by, "size")
-    d = d.withColumn("tied", F.count(F.lit(1)).over(same)).withColumn("rank", F.rank().over(order) + (F.col("tied") - 1) / 2)
-    out = d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("d") > 0, F.col("rank")).otherwise(0.0)).alias("up"), F.sum(F.when(F.col("d") < 0, F.col("rank")).otherwise(0.0)).alias("down"), F.sum((F.col("tied") * F.col("tied") - 1).cast("double")).alias("ties"))
+    # differences of one size share a rank, so that sizes are all that has to be ordered
+    up = F.sum(F.when(F.col("d") > 0, 1).otherwise(0))
+    sides = materialize(d.groupBy(*by, "size").agg(up.alias("up"), F.count(F.lit(1)).alias("tied")), "sizes")
+    ranks = counts_below(d, by, "size").withColumn("rank", F.col("below") + (F.col("n") + 1) / 2).select(*by, "size", "rank")
+    sides = sides.alias("a").join(ranks.alias("b"), same_keys([*by, "size"], "a", "b")).select("a.*", "b.rank")
+    weigh = lambda n: F.sum(n * F.col("rank"))
+    out = sides.groupBy(*by).agg(F.coalesce(F.sum("tied"), F.lit(0)).alias("n"), weigh(F.col("up")).alias("up"), weigh(F.col("tied") - F.col("up")).alias("down"), F.sum(((F.col("tied") * F.col("tied") - 1) * F.col("tied")).cast("double")).alias("ties"))
     return out.select(*by, "n", F.least("up", "down").alias("w"), "ties", (F.col("ties") > 0).alias("has_ties"))
 
 
@@ -112,11 +117,6 @@ def pearson(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     return df.dropna(subset=[x, y]).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.try_divide(cov, spread).alias("r"))
 
 
-def average_ranks(df: DataFrame, column: str, alias: str, by: Sequence[str] = ()) -> DataFrame:
-    ties = F.count(F.lit(1)).over(W.partitionBy(*by, column))
-    return df.withColumn(alias, F.rank().over(W.partitionBy(*by).orderBy(column)) + (ties - 1) / 2)
-
-
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     ranked = average_ranks(average_ranks(df.dropna(subset=[x, y]), x, "__rx", by), y, "__ry", by)
     return pearson(ranked, "__rx", "__ry", by).withColumnRenamed("r", "rho")

@@ -89,13 +89,16 @@ def threshold_table(hits: DataFrame, thresholds: Sequence[float], value: str, me
 
     An infinite ratio counts as zero in the score; thresholds that keep both bounds get the bonus.
     """
-    spark = hits.sparkSession
-    grid = spark.createDataFrame([(float(t),) for t in thresholds], "threshold double")
-    keep = F.col(value) > F.col("threshold") if strict else F.col(value) >= F.col("threshold")
-    near = hits.select(*by, "field", value).crossJoin(F.broadcast(grid)).where(keep)
-    counts = near.groupBy(*by, "threshold").agg(F.count_if(F.col("field") == "negative").alias("n"), F.count_if(F.col("field") == "positive").alias("p"))
-    full = F.broadcast(grid) if not by else hits.select(*by).distinct().crossJoin(F.broadcast(grid))
-    out = full.join(counts, [*by, "threshold"], "left").fillna(0, ["n", "p"])
+    steps = sorted({float(t) for t in thresholds})
+    # a hit passes the first so many thresholds; hits are counted by that number, and a threshold has the hits of its number and of larger ones
+    passed = F.size(F.filter(F.array(*[F.lit(t) for t in steps]), lambda t: F.col(value) > t if strict else F.col(value) >= t))
+    sides = [F.count_if(F.col("field") == f).alias(n) for f, n in (("negative", "n"), ("positive", "p"))]
+    counts = hits.where(F.col(value).isNotNull()).groupBy(*by, passed.alias("passed")).agg(*sides)
+    if not by:  # thresholds that no hit passes have a row, too
+        counts = counts.unionByName(hits.sparkSession.createDataFrame([(0, 0, 0)], "passed int, n bigint, p bigint"))
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.lit(i).alias("step")) for i, t in enumerate(steps)])).alias("g")
+    over = lambda c: F.sum(F.when(F.col("passed") > F.col("step"), F.col(c)).otherwise(0)).alias(c)
+    out = counts.select("*", each).select(*by, "g.*", "passed", "n", "p").groupBy(*by, "threshold", "step").agg(over("n"), over("p"))
     neg, pos = F.col("n") / megapixels[0], F.col("p") / megapixels[1]
     out = out.select(*by, "threshold", neg.alias("neg_matches_per_mpx"), pos.alias("pos_matches_per_mpx"))
     rate = F.try_divide("pos_matches_per_mpx", "neg_matches_per_mpx")

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import percent, ratio
+from ..functions.order import joined, quantiles
 from .relational import melt, share
 from .spatial import keep_nearest, knn_pairs, radius_pairs
 
@@ -83,7 +84,9 @@ def neighbor_pairs(targets: DataFrame, cells: DataFrame, kind: str, group: str =
 def own_state(cells: DataFrame, markers: Sequence[str], by: Sequence[str]) -> DataFrame:
     """(by, marker, mean, median, n_cells) of the cells themselves."""
     long = melt(cells.select(*by, *markers), by, markers, "marker", "value")
-    return long.groupBy(*by, "marker").agg(F.avg("value").alias("mean"), F.median("value").alias("median"), _n().alias("n_cells"))
+    out = long.groupBy(*by, "marker").agg(F.avg("value").alias("mean"), _n().alias("n_cells"))
+    middle = quantiles(long, [*by, "marker"], "value", [0.5]).withColumnRenamed("q0", "median").drop("n")
+    return joined(out, middle, [*by, "marker"]).select(*by, "marker", "mean", "median", "n_cells")
 
 
 def neighbor_state(pairs: DataFrame, cells: DataFrame, markers: Sequence[str], by: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import percent, positive_subset, sem
+from ..functions.order import joined, medians
 from ..operators.relational import complete_grid, dimension, share
 from ..schemas import LNP_ORDER, NO_SIGNAL, SELECTED_TYPES, lnp_detail
 from ..sources.cells import gates, with_gates
@@ -26,7 +27,7 @@ def gate_genes(cells: DataFrame, q: float = 0.95) -> DataFrame:
 
 
 def summarize(cells: DataFrame, by: Sequence[str], population: str) -> DataFrame:
-    """Counts, means, medians and percentages of a group, in one pass."""
+    """Counts, means, medians and percentages of a group."""
     out = cells.groupBy(*by).agg(
         _n().alias("n_cells"),
         F.count_if("lnp_positive").alias("n_lnp_positive"),
@@ -35,9 +36,8 @@ def summarize(cells: DataFrame, by: Sequence[str], population: str) -> DataFrame
         F.count_if("Luc_OVA_double_positive").alias("n_luc_ova_double_positive"),
         F.avg("Fluc").alias("mean_luc"),
         F.avg("OVA").alias("mean_ova"),
-        F.median("Fluc").alias("median_luc"),
-        F.median("OVA").alias("median_ova"),
     )
+    out = joined(out, medians(cells, by, {"median_luc": F.col("Fluc"), "median_ova": F.col("OVA")}), by)
     return out.withColumns({"analysis_population": F.lit(population), **{f"pct_{m}": percent(f"n_{m}", "n_cells") for m in ("luc_positive", "ova_positive", "luc_ova_double_positive")}})
 
 
@@ -105,10 +105,10 @@ def dc_by_region(gated: DataFrame, order: Sequence[str] = LNP_ORDER, column: str
         F.count_if("SIINFEKL_positive").alias("n_siinfekl_positive"),
         F.count_if("OVA_positive").alias("n_ova_positive"),
         F.avg(column).alias("mean_siinfekl_expression"),
-        F.median(column).alias("median_siinfekl_expression"),
         F.avg(inside).alias("mean_cd86_in_siinfekl_positive"),
-        F.median(inside).alias("median_cd86_in_siinfekl_positive"),
     )
+    by = ["lnp_region", "lnp_call"]
+    out = joined(out, medians(cells, by, {"median_siinfekl_expression": F.col(column), "median_cd86_in_siinfekl_positive": inside}), by)
     out = out.withColumns({"pct_siinfekl_positive": percent("n_siinfekl_positive", "n_lnp_positive_dc"), "pct_ova_positive": percent("n_ova_positive", "n_lnp_positive_dc")})
     return out.withColumn("siinfekl_minus_ova_pct_points", F.col("pct_siinfekl_positive") - F.col("pct_ova_positive"))
 

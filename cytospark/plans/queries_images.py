@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import rounded
+from ..functions.order import quantiles
 from ..operators import decode as D
 from ..operators import imaging as I
 from ..operators.relational import anti_count, dense_labels, merge_report, top_one, value_counts
@@ -111,7 +112,7 @@ _TOP = "th AS (SELECT fov, quantile_cont(v, 0.95) AS t FROM px GROUP BY 1)"
 
 def _bright(spark: SparkSession, d: str) -> DataFrame:
     px = pixels(spark, d)
-    cut = px.groupBy("fov").agg(F.percentile("v", F.lit(0.95)).alias("t"))
+    cut = quantiles(px, BY, "v", [0.95]).select("fov", F.col("q0").alias("t"))
     return px.join(cut, "fov").where("v > t").drop("t")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import coerce_double, pool_cell_type, quantile
+from ..functions.columns import coerce_double, pool_cell_type
+from ..functions.order import quantiles
 from ..schemas import LNP_REGIONS, REFERENCE_REGIONS
 
 _TYPES = {"view": "B", "signup": "CD4+ T", "purchase": "CD8+ T", "error": "DC"}
@@ -48,10 +49,13 @@ def clean_cells(df: DataFrame, markers: tuple[str, ...] = ("Fluc", "OVA"), regio
 
 
 def gates(df: DataFrame, markers: dict[str, str], q: float, regions: tuple[str, ...] = REFERENCE_REGIONS) -> DataFrame:
-    """(marker, column, threshold, reference_median, reference_n_cells) from the reference regions, in one pass."""
+    """(marker, column, threshold, reference_median, reference_n_cells) from the reference regions; a marker without values has no threshold."""
     reference = df.where(F.col("lnp_region").isin(list(regions)))
     named = F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), F.lit(c).alias("column"), coerce_double(c).alias("value")) for m, c in markers.items()])).alias("m")
-    return reference.select(named).select("m.*").groupBy("marker", "column").agg(F.round(quantile("value", q), 6).alias("threshold"), F.median("value").alias("reference_median"), F.count("value").alias("reference_n_cells"))
+    values = reference.select(named).select("m.*")
+    counts = values.groupBy("marker", "column").agg(F.count("value").alias("reference_n_cells"))
+    found = quantiles(values, ["marker", "column"], "value", [q, 0.5])
+    return counts.join(found, ["marker", "column"], "left").select("marker", "column", F.round("q0", 6).alias("threshold"), F.col("q1").alias("reference_median"), "reference_n_cells")
 
 
 def with_gates(df: DataFrame, table_: DataFrame, markers: dict[str, str]) -> DataFrame:
