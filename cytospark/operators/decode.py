@@ -84,22 +84,25 @@ def two_barcode_class(first: str, second: str, least: int = 1) -> Column:
     return F.when(a & b, "both_barcodes").when(a, "barcode1_only").when(b, "barcode2_only").otherwise("no_barcode")
 
 
-def threshold_table(hits: DataFrame, thresholds: Sequence[float], value: str, megapixels: tuple[float, float], strict: bool, max_negative: float = 3.0, min_positive: float = 0.5, bonus: float = 1000.0, by: Sequence[str] = ()) -> DataFrame:
+def threshold_table(hits: DataFrame, thresholds: Sequence[float], value: str, megapixels: tuple[float, float], strict: bool, max_negative: float = 3.0, min_positive: float = 0.5, bonus: float = 1000.0, by: Sequence[str] = (), every: DataFrame | None = None) -> DataFrame:
     """For each threshold the density of hits in the negative and the positive field, their ratio and a score, from (by, field, value).
 
-    An infinite ratio counts as zero in the score; thresholds that keep both bounds get the bonus.
+    An infinite ratio counts as zero in the score; thresholds that keep both bounds get the bonus. Groups of `every` that have no hit have rows, too. A field without pixels has no hits.
     """
     steps = sorted({float(t) for t in thresholds})
     # a hit passes the first so many thresholds; hits are counted by that number, and a threshold has the hits of its number and of larger ones
     passed = F.size(F.filter(F.array(*[F.lit(t) for t in steps]), lambda t: F.col(value) > t if strict else F.col(value) >= t))
     sides = [F.count_if(F.col("field") == f).alias(n) for f, n in (("negative", "n"), ("positive", "p"))]
     counts = hits.where(F.col(value).isNotNull()).groupBy(*by, passed.alias("passed")).agg(*sides)
+    none = hits.sparkSession.createDataFrame([(0, 0, 0)], "passed int, n bigint, p bigint")
     if not by:  # thresholds that no hit passes have a row, too
-        counts = counts.unionByName(hits.sparkSession.createDataFrame([(0, 0, 0)], "passed int, n bigint, p bigint"))
+        counts = counts.unionByName(none)
+    elif every is not None:
+        counts = counts.unionByName(every.select(*by, F.lit(0).alias("passed"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("p")))
     each = F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.lit(i).alias("step")) for i, t in enumerate(steps)])).alias("g")
     over = lambda c: F.sum(F.when(F.col("passed") > F.col("step"), F.col(c)).otherwise(0)).alias(c)
     out = counts.select("*", each).select(*by, "g.*", "passed", "n", "p").groupBy(*by, "threshold", "step").agg(over("n"), over("p"))
-    neg, pos = F.col("n") / megapixels[0], F.col("p") / megapixels[1]
+    neg, pos = (F.coalesce(F.try_divide(F.col(c).cast("double"), F.lit(float(m))), F.lit(0.0)) for c, m in zip("np", megapixels, strict=True))
     out = out.select(*by, "threshold", neg.alias("neg_matches_per_mpx"), pos.alias("pos_matches_per_mpx"))
     rate = F.try_divide("pos_matches_per_mpx", "neg_matches_per_mpx")
     passes = (F.col("neg_matches_per_mpx") <= max_negative) & (F.col("pos_matches_per_mpx") >= min_positive)

@@ -207,16 +207,16 @@ def _disk(outer: int) -> list[tuple[int, int, float]]:
     return [(a, b, math.hypot(a, b)) for a in range(-outer, outer + 1) for b in range(-outer, outer + 1) if math.hypot(a, b) <= outer]
 
 
-def local_snr(candidates: DataFrame, pixels: DataFrame, by: Sequence[str], core: int = 1, inner: int = 3, outer: int = 5) -> DataFrame:
-    """(by, i, j, snr): the largest value of the core over the median of the ring; infinite over a dark ring, 0 without signal."""
+def local_snr(candidates: DataFrame, pixels: DataFrame, by: Sequence[str], core: int = 1, inner: int = 3, outer: int = 5, channel: Sequence[str] = ()) -> DataFrame:
+    """(by, i, j, channel, snr): the largest value of the core over the median of the ring, in each channel of the image; infinite over a dark ring, 0 without signal."""
     spark = candidates.sparkSession
     offsets = spark.createDataFrame(_disk(outer), "di int, dj int, d double")
     around = candidates.select(*by, "i", "j").distinct().crossJoin(F.broadcast(offsets)).withColumn("pi", F.col("i") + F.col("di")).withColumn("pj", F.col("j") + F.col("dj"))
-    values = around.join(pixels.select(*by, F.col("i").alias("pi"), F.col("j").alias("pj"), "v"), [*by, "pi", "pj"])
+    values = around.join(pixels.select(*by, *channel, F.col("i").alias("pi"), F.col("j").alias("pj"), "v"), [*by, "pi", "pj"])
     signal, ring = F.max(F.when(F.col("d") <= core, F.col("v"))), F.median(F.when(F.col("d") > inner, F.col("v")))
-    out = values.groupBy(*by, "i", "j").agg(signal.cast("double").alias("signal"), F.coalesce(ring, F.lit(0.0)).alias("ring"))
+    out = values.groupBy(*by, "i", "j", *channel).agg(signal.cast("double").alias("signal"), F.coalesce(ring, F.lit(0.0)).alias("ring"))
     snr = F.when(F.col("ring") > 0, F.try_divide("signal", "ring")).when(F.col("signal") > 0, F.lit(float("inf"))).otherwise(0.0)
-    return out.select(*by, "i", "j", snr.alias("snr"))
+    return out.select(*by, "i", "j", *channel, snr.alias("snr"))
 
 
 def binned(pixels: DataFrame, by: Sequence[str], bins: int = 256) -> DataFrame:

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import stats as S
 from ..functions.columns import percent, positive_subset
 from ..operators import cluster as C
-from ..operators import decode as D
-from ..operators import imaging as I
 from ..operators import neighbors as N
 from ..operators.relational import anti_count, merge_report, relabel
 from ..schemas import LNP_ORDER, REFERENCE_REGIONS, SWAPPED, TISSUE_AVERAGE, Codebook, lnp_detail
@@ -103,23 +101,3 @@ def panels(tables: dict[str, tuple[DataFrame, str, str, bool]]) -> DataFrame:
 
 def positive_of(cells: DataFrame, kind: str, gate: str | None = None) -> DataFrame:
     return cells.where(positive_subset(LNP_ORDER, kind, gate))
-
-
-def image_family(pixels: DataFrame, centroids: DataFrame, by: Sequence[str], marker: str, book: Codebook, height: int, n_tiles: int = 4, overlap: int = 16, threshold: float = 0.0, width: int = 7, distance: float = 9.0, radius: float = 25.0, **options) -> tuple[DataFrame, DataFrame]:
-    """(decoded spots with cell, cell calls) from pixels with a marker column: tiled detection on each marker, one suppression, local ratios, decoding, assignment."""
-    found = None
-    for n, m in enumerate(book.markers):
-        one = I.detect_tiled(pixels.where(F.col(marker) == m), by, height, n_tiles, overlap, width=width, threshold=threshold, distance=distance)
-        one = one.drop("tile").withColumn("ordinal", F.lit(n))
-        found = one if found is None else found.unionByName(one)
-    spots = I.suppress(found, by, distance, "ordinal")
-    ratios = None
-    for n, m in enumerate(book.markers):
-        r = I.local_snr(spots, pixels.where(F.col(marker) == m), by).withColumn("n", F.lit(n))
-        ratios = r if ratios is None else ratios.unionByName(r)
-    arrays = ratios.groupBy(*by, "i", "j").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "snr"))), lambda s: s["snr"]).alias("snr"))
-    decoded = D.decode(arrays, book, **options)
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in by])
-    placed = decoded.where("accepted").withColumns({"x": F.col("j").cast("double"), "y": F.col("i").cast("double"), "field": key}).withColumn("spot_id", F.concat_ws("|", "field", "i", "j"))
-    assigned = I.assign_spots(placed, centroids, radius, "field")
-    return assigned, D.cell_calls(centroids, D.bit_counts(assigned, book), book)
