@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +14,9 @@ from ..functions.columns import percent, ratio
 from ..sources.scratch import materialize
 from .relational import cross_share, share, top_one
 
+#: Rows among which k-means chooses its first centroids.
+SEEDS = 10_000
+
 
 def to_array(long: DataFrame, key: str, kind: str, value: str, order: Sequence[str]) -> DataFrame:
     """(key, features): the long form as an array in the order of the types, absent ones 0."""
@@ -21,13 +24,80 @@ def to_array(long: DataFrame, key: str, kind: str, value: str, order: Sequence[s
     return by_type.select(key, F.array(*[F.coalesce(F.try_element_at("m", F.lit(t)), F.lit(0.0)) for t in order]).alias("features"))
 
 
-def fit_centroids(rows: DataFrame, k: int, seed: int = 0, tries: int = 3, features: str = "features") -> tuple[list[list[float]], float]:
+def _first_centroids(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ on the sample: each next one with a chance in proportion to its squared distance to those before."""
+    chosen = [int(rng.integers(len(sample)))]
+    d2 = ((sample - sample[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < k:
+        total = d2.sum()
+        chosen.append(int(rng.choice(len(sample), p=d2 / total)) if total > 0 else int(rng.integers(len(sample))))
+        d2 = np.minimum(d2, ((sample - sample[chosen[-1]]) ** 2).sum(1))
+    return sample[chosen]
+
+
+def _lloyd(models):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(model, cluster, n, cost, sums) of all models over a task's rows."""
+        found: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            column = batch.column("v")
+            if not len(column):
+                continue
+            x = column.flatten().to_numpy().reshape(len(column), -1)
+            for m, c in models.value.items():
+                d2 = np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1), 0)
+                at = d2.argmin(1)
+                n = np.bincount(at, minlength=len(c))
+                cost = np.bincount(at, ((x - c[at]) ** 2).sum(1), len(c))
+                sums = np.column_stack([np.bincount(at, x[:, d], len(c)) for d in range(x.shape[1])])
+                found[m] = [a + b for a, b in zip(found[m], (n, cost, sums), strict=True)] if m in found else [n, cost, sums]
+        for m, (n, cost, sums) in found.items():
+            k = len(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, m, np.int32)), pa.array(np.arange(k, dtype=np.int32)), pa.array(n.astype(np.int64)), pa.array(cost), pa.array(list(sums), pa.list_(pa.float64()))], ["model", "cluster", "n", "cost", "sums"])
+
+    return run
+
+
+def fit_many(rows: DataFrame, ks: Sequence[int], starts: int = 10, seed: int = 0, features: str = "features", steps: int = 300, tolerance: float = 1e-4) -> dict[int, tuple[list[list[float]], float]]:
+    """For each k the centroids of the cheapest of `starts` k-means runs, and their cost.
+
+    All starts of all k go through the rows together: a step is one aggregation, of a row for each centroid and task. Runs leave when their centroids move by less than the tolerance (a part of
+    the mean variance). First centroids are chosen by k-means++ among `SEEDS` rows, those of the least hash. There are k rows at least.
+    """
+    spark = rows.sparkSession
+    vectors = materialize(rows.select(F.col(features).cast("array<double>").alias("v")), "vectors")
+    sample = np.array([r[0] for r in vectors.orderBy(F.xxhash64("v", F.lit(seed)), "v").limit(SEEDS).collect()])
+    models = {(i, k): _first_centroids(sample, k, np.random.default_rng([seed, i, k])) for k in ks for i in range(starts)}
+    close = tolerance * float(sample.var(0).mean())
+    live, done = list(models), {}
+    for step in range(steps):
+        sent = spark.sparkContext.broadcast({n: models[m] for n, m in enumerate(live)})
+        found = vectors.mapInArrow(_lloyd(sent), "model int, cluster int, n bigint, cost double, sums array<double>")
+        sums = [F.sum(F.col("sums")[d]).alias(f"s{d}") for d in range(sample.shape[1])]
+        totals: dict[int, list] = {}
+        for r in found.groupBy("model", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *sums).collect():
+            totals.setdefault(r.model, []).append(r)
+        still = []
+        for n, m in enumerate(live):
+            new, cost = models[m].copy(), 0.0
+            for r in totals[n]:
+                cost += r.cost
+                if r.n:  # a centroid without rows stays where it is
+                    new[r.cluster] = np.array(r[4:]) / r.n
+            done[m] = (models[m], cost)
+            if ((new - models[m]) ** 2).sum() > close and step < steps - 1:
+                models[m] = new
+                still.append(m)
+        live = still
+        if not live:
+            break
+    best = {k: min((done[i, k] for i in range(starts)), key=lambda x: x[1]) for k in ks}
+    return {k: ([list(map(float, c)) for c in centroids], float(cost)) for k, (centroids, cost) in best.items()}
+
+
+def fit_centroids(rows: DataFrame, k: int, seed: int = 0, tries: int = 20, features: str = "features") -> tuple[list[list[float]], float]:
     """The centroids of the cheapest of several k-means runs, and their cost; k rows of doubles."""
-    vectors = rows.select(array_to_vector(F.col(features).cast("array<double>")).alias("v")).persist()
-    models = [KMeans(k=k, seed=seed + i, featuresCol="v").fit(vectors) for i in range(tries)]
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    vectors.unpersist()
-    return [list(map(float, c)) for c in best.clusterCenters()], float(best.summary.trainingCost)
+    return fit_many(rows, [k], tries, seed, features)[k]
 
 
 def assign(rows: DataFrame, centroids: Sequence[Sequence[float]], features: str = "features") -> DataFrame:
@@ -44,7 +114,8 @@ def elbow(rows: DataFrame, ks: Sequence[int], most: int = 250_000, seed: int = 0
     spark = rows.sparkSession
     sample = materialize(rows.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(most), "elbow")
     n = sample.count()
-    costs = [(k, fit_centroids(sample, k, seed, tries=1)[1]) for k in ks if 1 < k < n]
+    fits = fit_many(sample, [k for k in ks if 1 < k < n], 10, seed) if any(1 < k < n for k in ks) else {}
+    costs = [(k, cost) for k, (_, cost) in fits.items()]
     out = spark.createDataFrame(costs, "k int, inertia double").withColumn("inertia_per_sample", F.col("inertia") / max(n, 1))
     before = F.lag("inertia").over(W.orderBy("k"))
     return out.withColumn("relative_reduction", ratio(before - F.col("inertia"), before))

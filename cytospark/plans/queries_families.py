@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import rounded
 from ..operators import imaging as I
 from ..schemas import Codebook
-from ..sources.scratch import materialize
+from ..operators import decode as D
+from ..sources import contracts, files
+from ..sources.cells import cells, gates, table
+from ..sources.scratch import materialize, shared_folder
+from ..sources.stacks import read_stacks, write_stacks
+from . import expression as E
 from . import families as M
 from .queries_images import _PIXELS, _SCORED, BY, CHANNELS, HEIGHT, WIDTH, pixels
-from .sql import r
+from .sql import CELLS, r, with_
 
 QUERIES, ORACLES = {}, {}
 
@@ -138,3 +145,51 @@ SELECT fov, {r("arg_max(v, ROW(w1 * (w - w1) * (s1 / w1 - (s - s1) / (w - w1)) *
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
     return I.otsu(pixels(spark, d), BY, 256)
+
+
+def _written(spark: SparkSession, d: str) -> str:
+    """A folder with a stack for each image."""
+    path = f"{shared_folder(spark)}/stacks-{uuid4().hex}"
+    named = stacks(spark, d).select(F.format_string("image%d", "image").alias("sample"), "marker", F.format_string("reg00%d", F.col("image") % 4).alias("region"), "i", "j", "v")
+    materialize(write_stacks(named, path, BOOK.markers, HEIGHT, WIDTH), "written")
+    return path
+
+
+_IMAGES = f"WITH {_PIXELS}, st AS (SELECT concat('image', fov // {CHANNELS}) AS sample, concat('reg00', fov // {CHANNELS} % 4) AS region, concat('m', fov % {CHANNELS}) AS marker, i, j, v FROM px) "
+
+
+@query("S6_image_stacks", _IMAGES + f"SELECT sample, region, marker, i, {r('sum(v)')} AS total, count(*) AS n FROM st WHERE region = 'reg000' AND marker IN ('m0', 'm2') GROUP BY ALL")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    px = read_stacks(spark, _written(spark, d), ["reg000"], ["m0", "m2"], rows=32)
+    return px.groupBy("sample", "region", "marker", "i").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
+
+
+@query("S7_find_images", _IMAGES + "SELECT DISTINCT sample, substr(sample, 6) AS number FROM st")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return files.find_images(spark, _written(spark, d), "*.npy", r"^(image([0-9]+))[.]npy$", ["sample", "number"]).drop("path")
+
+
+@query("S9_parameters", with_(CELLS) + f"SELECT marker, col AS \"column\", round(quantile_cont(v, 0.95), 6) AS threshold, count(v) AS reference_n_cells FROM (SELECT 'Luc' AS marker, 'Fluc' AS col, Fluc AS v FROM cells WHERE lnp_region = 'S2_reg004' UNION ALL SELECT 'OVA', 'OVA', OVA FROM cells WHERE lnp_region = 'S2_reg004') GROUP BY 1, 2")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/parameters-{uuid4().hex}"
+    files.write_parameters(gates(cells(spark, d), E.GENES, 0.95).drop("reference_median"), path)
+    return spark.read.schema("marker string, `column` string, threshold double, reference_n_cells bigint").json(path)
+
+
+@query(
+    "S14_codebook_violations",
+    "SELECT DISTINCT CASE WHEN p_partkey % 50 = 0 THEN c || '0' ELSE c END AS code, 'x' || (p_partkey % 10) AS call FROM (SELECT p_partkey, lpad(bin(p_partkey * 37 % 4096), 12, '0') AS c FROM part) WHERE p_partkey % 50 = 0 OR bit_count(p_partkey * 37 % 4096) <> 6",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    code = F.lpad(F.bin(F.col("p_partkey") * 37 % 4096), 12, "0")
+    code = F.when(F.col("p_partkey") % 50 == 0, F.concat(code, F.lit("0"))).otherwise(code)
+    codes = table(spark, d, "part").select(code.alias("code"), F.format_string("x%d", F.col("p_partkey") % 10).alias("call")).distinct()
+    return contracts.codebook_violations(codes, D.ROUND_1)
+
+
+@query("S13_write_checked", with_(CELLS) + f"SELECT lnp_region, count(*) AS n, {r('avg(x)')} AS mean_x, (SELECT count(*) FROM cells) AS n_written FROM cells GROUP BY 1")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    c, path = cells(spark, d), f"{shared_folder(spark)}/cells-{uuid4().hex}"
+    found = contracts.write_checked(c, path, {"place": F.col("x").isNotNull() & F.col("y").isNotNull(), "call": F.col("lnp_call").rlike("^LNP_[0-9]{2}$"), "region": F.col("lnp_region").rlike("^S[0-9]_reg[0-9]{3}$")}, 1)
+    out = spark.read.schema(c.schema).parquet(path).groupBy("lnp_region").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean_x"))
+    return out.withColumn("n_written", F.lit(found["rows"]).cast("bigint"))

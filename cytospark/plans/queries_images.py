@@ -355,7 +355,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return files.build_manifest(spark, d, "*.parquet")
 
 
-@query("S12_verify_manifest")
+@query("S12_verify_manifest", "SELECT 'nation.parquet' AS path, 'size mismatch' AS problem")
 def _(spark: SparkSession, d: str) -> DataFrame:
     have = files.build_manifest(spark, d, "*.parquet")
     return files.verify_manifest(have.withColumn("size_bytes", F.when(F.col("path") == "nation.parquet", 1).otherwise(F.col("size_bytes"))), have)

@@ -236,11 +236,6 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return files.unfinished(spark, c, path, ["lnp_region"]).groupBy("lnp_region").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("S7_find_images")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    return files.find_images(spark, d, "*.parquet", r"^([a-z]+)s[.]parquet$", ["channel"])
-
-
 @query("J1_left_join", "SELECT o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def _(spark: SparkSession, d: str) -> DataFrame:
     o, c = table(spark, d, "orders"), table(spark, d, "customer")

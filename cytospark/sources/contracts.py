@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.relational import set_difference
@@ -56,3 +56,22 @@ def codebook_violations(df: DataFrame, book: Codebook) -> DataFrame:
     """Codes of another length, or with another number of bits on."""
     on = F.length(F.replace(F.col("code"), F.lit("0"), F.lit("")))
     return df.where((F.length("code") != len(book.markers)) | (on != book.on_bits))
+
+
+def write_checked(df: DataFrame, path: str, conditions: dict[str, Column], least_rows: int = 0) -> dict[str, int]:
+    """Write Parquet to a new path and check all conditions in the same pass; (name -> rows that break it), and `rows`.
+
+    A row breaks a condition that isn't true for it, null included. What breaks a contract is an error, and the written files go before it is raised; duplicates and matches with other tables need a shuffle of their
+    own and are checked by `duplicates` and `unmatched`.
+    """
+    seen = Observation()
+    metrics = [F.count_if(~F.coalesce(c, F.lit(False))).alias(n) for n, c in conditions.items()]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.parquet(path)
+    found = {n: int(seen.get[n]) for n in ("rows", *conditions)}
+    broken = {n: v for n, v in found.items() if n in conditions and v} | ({"rows": found["rows"]} if found["rows"] < least_rows else {})
+    if broken:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        raise ContractError(f"{path}: {broken}")
+    return found

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
+from fnmatch import fnmatch
 
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.relational import union_columns
+from .stacks import opened
+
+#: Bytes of a file that are read at once.
+BLOCK = 8_000_000
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, partitions: int | None = None) -> DataFrame:
@@ -37,10 +45,34 @@ def find_images(spark: SparkSession, path: str, glob: str, pattern: str, fields:
     return files.where(name.rlike(pattern)).select("path", *[F.regexp_extract(name, pattern, i + 1).alias(f) for i, f in enumerate(fields)])
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for name in batch.column("name").to_pylist():
+            digest = hashlib.sha256()
+            store, path = opened(name)
+            with store.open_input_stream(path) as f:
+                while block := f.read(BLOCK):
+                    digest.update(block)
+            out.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("size_bytes"), pa.array(out, pa.string())], ["path", "size_bytes", "sha256"])
+
+
 def build_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, size_bytes, sha256) of the files below a folder; a file is a row, so that it must be under 2 GB."""
+    """(path, size_bytes, sha256) of the files below a folder, by their path within it.
+
+    Local files are read by tasks in blocks of `BLOCK` bytes, whatever their size; on other file systems a file is one value of Spark's reader, which is under 2 GB and has at least a byte.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    if root.startswith("file:"):
+        store, top = opened(root)
+        found = [(f"file:{f.path}", f.path[len(top.rstrip("/")) + 1 :], f.size) for f in store.get_file_info(arrow_fs.FileSelector(top, recursive=True)) if f.type == arrow_fs.FileType.File and f.base_name[0] not in "._" and fnmatch(f.base_name, glob)]
+        names = spark.createDataFrame(found, "name string, path string, size_bytes bigint")
+        return names.repartition(max(1, len(found)), "name").mapInArrow(_digests, "path string, size_bytes bigint, sha256 string") if found else names.selectExpr("path", "size_bytes", "'' AS sha256")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    within = F.expr(f"substring(path, {len(root.rstrip('/')) + 2})")
+    return files.select(within.alias("path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def verify_manifest(manifest: DataFrame, files: DataFrame) -> DataFrame:
