@@ -65,16 +65,10 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float])
     """
     rows = df.select(*by, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     rows = rows.withColumn("v", F.greatest(F.least("v", F.lit(_LARGEST)), F.lit(-_LARGEST)))
-    whole = materialize(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")), "extent")
+    whole = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     ends = F.explode(F.array(*[F.struct(F.lit(i).alias("q"), F.lit(e).alias("end"), f(F.lit(float(q)) * (F.col("n") - 1)).cast("bigint").alias("at")) for i, q in enumerate(qs) for e, f in enumerate((F.floor, F.ceil))])).alias("w")
-    wanted = whole.select(*by, "n", "lo", "hi", F.lit(0).cast("bigint").alias("below"), ends).select(*by, "n", "lo", "hi", "below", "w.*")
-    done = None
-    while True:
-        found = materialize(wanted.where("lo = hi"), "found")
-        done = found if done is None else done.unionByName(found)
-        wanted = materialize(wanted.where("lo < hi"), "wanted")
-        if wanted.isEmpty():
-            break
+    state = materialize(whole.select(*by, "n", "lo", "hi", F.lit(0).cast("bigint").alias("below"), ends).select(*by, "n", "lo", "hi", "below", "w.*"), "quantiles")
+    while not (wanted := state.where("lo < hi")).isEmpty():
         intervals = wanted.select(*by, "lo", "hi").distinct()
         inside = rows.alias("a").join(intervals.alias("b"), same_keys(by, "a", "b") & F.col("a.v").between(F.col("b.lo"), F.col("b.hi")))
         # halves, as the width of an interval may be beyond the largest double
@@ -85,9 +79,10 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float])
         bins = bins.withColumn("before", F.coalesce(F.sum("c").over(upto), F.lit(0)))
         hit = wanted.alias("a").join(bins.alias("b"), same_keys([*by, "lo", "hi"], "a", "b"))
         hit = hit.where((F.col("at") >= F.col("below") + F.col("before")) & (F.col("at") < F.col("below") + F.col("before") + F.col("c")))
-        wanted = hit.select(*[F.col(f"a.{c}") for c in by], "n", F.col("v0").alias("lo"), F.col("v1").alias("hi"), (F.col("below") + F.col("before")).alias("below"), "q", "end", "at")
+        hit = hit.select(*[F.col(f"a.{c}") for c in by], "n", F.col("v0").alias("lo"), F.col("v1").alias("hi"), (F.col("below") + F.col("before")).alias("below"), "q", "end", "at")
+        state = materialize(hit.unionByName(state.where("lo = hi")), "quantiles")
     pick = lambda i, e: F.max(F.when((F.col("q") == i) & (F.col("end") == e), F.col("lo")))
-    out = done.groupBy(*by).agg(F.first("n").alias("n"), *[pick(i, e).alias(f"__{i}_{e}") for i in range(len(qs)) for e in (0, 1)])
+    out = state.groupBy(*by).agg(F.first("n").alias("n"), *[pick(i, e).alias(f"__{i}_{e}") for i in range(len(qs)) for e in (0, 1)])
     part = lambda q: F.lit(float(q)) * (F.col("n") - 1) - F.floor(F.lit(float(q)) * (F.col("n") - 1))
     return out.select(*by, "n", *[(F.col(f"__{i}_0") + (F.col(f"__{i}_1") - F.col(f"__{i}_0")) * part(q)).alias(f"q{i}") for i, q in enumerate(qs)])
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import percent, ratio
-from ..functions.order import joined, quantiles
+from ..functions.order import joined, medians, quantiles
 from .relational import melt, share
 from .spatial import keep_nearest, knn_pairs, radius_pairs
 
@@ -98,8 +98,9 @@ def neighbor_state(pairs: DataFrame, cells: DataFrame, markers: Sequence[str], b
 def region_metrics(per_cell: DataFrame, by: Sequence[str], counts: Sequence[str], flags: Sequence[str], distances: Sequence[str]) -> DataFrame:
     """Mean counts, percent of flags, mean and median distances by region and group."""
     columns = [F.avg(c).alias(f"mean_{c}") for c in counts] + [(F.avg(F.col(c).cast("double")) * 100).alias(f"pct_{c}") for c in flags]
-    columns += [f(c).alias(f"{a}_{c}") for c in distances for a, f in (("mean", F.avg), ("median", F.median))]
-    return per_cell.groupBy(*by).agg(_n().alias("n_target_cells"), *columns)
+    columns += [F.avg(c).alias(f"mean_{c}") for c in distances]
+    out = per_cell.groupBy(*by).agg(_n().alias("n_target_cells"), *columns)
+    return joined(out, medians(per_cell, by, {f"median_{c}": F.col(c) for c in distances}), by) if distances else out
 
 
 def subset_distribution(cells: DataFrame, group: str, label: str, by: Sequence[str] = ()) -> DataFrame:

@@ -195,21 +195,112 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return S.paired_t(own, "lnp_call", X.PAIR, "median", ["marker"])
 
 
-@query("G27_paired_panels")
+def _around(spark: SparkSession, d: str) -> X.AroundSection:
+    c = E.gate_peptide(E.gate_genes(cells(spark, d)))
+    return X.AroundSection(*_targets(c), "CD8+ T", "cd8", N.neighbor_composition(c), "quarter", ks=(10, 20), radii=(10.0, 25.0))
+
+
+def _targets(c: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells with the quarter of the region that they lie in, and the gated dendritic ones."""
+    c = c.withColumn("quarter", F.concat(F.when(F.col("x") < 300, "left").otherwise("right"), F.when(F.col("y") < 300, "-low").otherwise("-high")))
+    return c, X.positive_of(c, "DC", "SIINFEKL_positive")
+
+
+_NEAR = "sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))"
+#: Gated dendritic cells (tg), their pairs with all cells of the region in order (pr), and those with cells of the type (pk).
+_AROUND = with_(
+    CELLS,
+    GATES,
+    "tg AS (SELECT *, concat(CASE WHEN x < 300 THEN 'left' ELSE 'right' END, CASE WHEN y < 300 THEN '-low' ELSE '-high' END) AS quarter FROM gated WHERE lnp_positive AND cell_type = 'DC' AND siin_pos)",
+    f"pr AS (SELECT a.lnp_region, a.lnp_call, a.cell_id AS t, b.cell_id AS n, b.cell_type AS nt, {_NEAR} AS d, row_number() OVER (PARTITION BY a.cell_id ORDER BY {_NEAR}, b.cell_id) AS k FROM tg a JOIN cells b ON a.lnp_region = b.lnp_region AND a.cell_id <> b.cell_id)",
+).rstrip()
+
+
+def _by_region(conditions: dict[str, str], n: str, has: str, mean: str) -> str:
+    """Mean counts, percents and distances by region of pairs that meet each condition, by the columns' names."""
+    per = ", ".join(f"count(*) FILTER (nt = 'CD8+ T' AND {c}) AS n{i}, avg(d * 0.5) FILTER (nt = 'CD8+ T' AND {c}) AS d{i}" for i, c in enumerate(conditions.values()))
+    cols = ", ".join(f"{r(f'avg(coalesce(n{i}, 0))')} AS mean_{n.format(x)}, {r(f'avg(CASE WHEN n{i} > 0 THEN 100.0 ELSE 0.0 END)')} AS pct_{has.format(x)}, {r(f'avg(d{i})')} AS mean_{mean.format(x)}, {r(f'median(d{i})')} AS median_{mean.format(x)}" for i, x in enumerate(conditions))
+    return f", pc AS (SELECT t, {per} FROM pr GROUP BY 1) SELECT lnp_region, lnp_call, count(*) AS n_target_cells, {cols} FROM tg LEFT JOIN pc ON t = cell_id GROUP BY 1, 2"
+
+
+@query("G23_multiscale_by_region", _AROUND + _by_region({"10": "k <= 10", "20": "k <= 20"}, "n_cd8_neighbors_k{}", "has_cd8_neighbor_k{}", "mean_cd8_distance_um_k{}"))
 def _(spark: SparkSession, d: str) -> DataFrame:
+    return _around(spark, d).multiscale_by_region
+
+
+@query("G23_radius_by_region", _AROUND + _by_region({"10": "d <= 10", "25": "d <= 25"}, "n_cd8_within_r{}", "has_cd8_within_r{}", "mean_cd8_distance_um_r{}"))
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return _around(spark, d).radius_by_region
+
+
+_HYBRID = ", hy AS (SELECT t, count(*) FILTER (nt = 'CD8+ T') AS n, avg(d * 0.5) FILTER (nt = 'CD8+ T') AS m, median(d) FILTER (nt = 'CD8+ T') * 0.5 AS md FROM pr WHERE k <= 10 AND d < 25 GROUP BY 1), hc AS (SELECT tg.*, coalesce(n, 0) AS n, coalesce(n, 0) > 0 AS has, m, md FROM tg LEFT JOIN hy ON t = cell_id)"
+
+
+@query("G23_hybrid_by_region", _AROUND + _HYBRID + f" SELECT lnp_region, lnp_call, count(*) AS n_target_cells, {r('avg(n)')} AS mean_n_cd8_neighbors, {r('avg(CASE WHEN has THEN 100.0 ELSE 0.0 END)')} AS pct_has_cd8_neighbor, {r('avg(m)')} AS mean_mean_cd8_distance_um, {r('median(m)')} AS median_mean_cd8_distance_um, {r('avg(md)')} AS mean_median_cd8_distance_um, {r('median(md)')} AS median_median_cd8_distance_um FROM hc GROUP BY 1, 2")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return _around(spark, d).hybrid_by_region
+
+
+@query("G23_metrics_by_region", _AROUND + _HYBRID + f" SELECT lnp_region, lnp_call, count(*) AS n_targets, {r('avg(CD86)')} AS mean_cd86, {r('avg(n)')} AS mean_n_cd8_neighbors, count(*) FILTER (has) AS n_with_cd8_neighbor, {r('avg(m)')} AS mean_cd8_distance_um, {r('median(md)')} AS median_cd8_distance_um, {r('100.0 * count(*) FILTER (has) / count(*)')} AS pct_with_cd8_neighbor FROM hc GROUP BY 1, 2")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return _around(spark, d).metrics_by_region
+
+
+@query("G23_composition_by_region", _AROUND + f", sz AS (SELECT lnp_region, lnp_call, count(*) AS n FROM tg GROUP BY 1, 2), fr AS (SELECT lnp_region, lnp_call, t, nt, count(*) * 1.0 / sum(count(*)) OVER (PARTITION BY t) AS f FROM pr WHERE k <= 10 GROUP BY 1, 2, 3, 4) SELECT lnp_region, lnp_call, nt AS cell_type, {r('100 * sum(f) / any_value(n)')} AS mean_pct FROM fr JOIN sz USING (lnp_region, lnp_call) GROUP BY 1, 2, 3")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return _around(spark, d).composition_around()
+
+
+@query("G23_abundance_by_region", _AROUND + f" SELECT lnp_region, lnp_call, quarter, count(*) AS n_cells, {r('100.0 * count(*) / sum(count(*)) OVER (PARTITION BY lnp_region, lnp_call)')} AS pct FROM tg GROUP BY 1, 2, 3")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return _around(spark, d).abundance()
+
+
+_EXTRA = {"FOXP3": "cast(cell_id * 29 % 83 as double)", "CD19": "cast(cell_id * 31 % 89 as double)", "CD138": "cast(cell_id * 37 % 97 as double)", "CD25": "cast(cell_id * 41 % 79 as double)"}
+
+
+def _paired_panels(spark: SparkSession, d: str) -> DataFrame:
     c = E.gate_peptide(E.gate_genes(cells(spark, d)))
-    dc = E.dc_by_region(c)
-    targets = X.positive_of(c, "DC")
-    hybrid = N.hybrid_metrics(targets, c, "CD8+ T", 10, 25.0, "cd8").join(targets.select("cell_id", "lnp_region", "lnp_call"), "cell_id")
-    by_region = materialize(N.region_metrics(hybrid, ["lnp_region", "lnp_call"], ["n_cd8_neighbors"], ["has_cd8_neighbor"], ["median_cd8_distance_um"]), "hybrid")
-    own = materialize(N.own_state(X.positive_of(c, "B", "OVA_positive"), _MARKERS, ["lnp_region", "lnp_call"]), "own")
-    tables = {
-        "mean_cd86_siinfekl_positive_dc": (dc, "mean_cd86_in_siinfekl_positive", "two-sided", True),
-        "median_cd8_distance": (by_region, "median_median_cd8_distance_um", "less", False),
-        "pct_cd8_presence": (by_region, "pct_has_cd8_neighbor", "greater", False),
-    }
-    tables |= {f"ova_b_{m}_median": (own.where(F.col("marker") == m), "median", "two-sided", False) for m in _MARKERS}
-    return X.panels(tables)
+    return X.paired_panels(c.withColumns({m: F.expr(e) for m, e in _EXTRA.items()}))
+
+
+@query("G23_around_tests")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    section = _around(spark, d)
+    return section.hybrid_tests().unionByName(section.metrics_tests())
+
+
+@query("G27_paired_panels")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return _paired_panels(spark, d)
+
+
+_PANELS = (
+    _AROUND
+    + _HYBRID
+    + ", ex AS (SELECT *, "
+    + ", ".join(f"{e} AS {m}" for m, e in _EXTRA.items())
+    + " FROM gated)"
+    + "".join(
+        f""", p{k} AS (SELECT a.lnp_call, a.cell_id AS t, b.cell_id AS n, {_NEAR} AS d, row_number() OVER (PARTITION BY a.cell_id ORDER BY {_NEAR}, b.cell_id) AS k FROM ex a JOIN ex b ON a.lnp_region = b.lnp_region AND b.cell_type = 'CD4+ T' AND a.cell_id <> b.cell_id WHERE a.lnp_positive AND a.ova_pos AND a.cell_type = '{kind}'),
+u{k} AS (SELECT * FROM p{k} WHERE k <= 10 AND d < 25 QUALIFY row_number() OVER (PARTITION BY n ORDER BY d, t) = 1)"""
+        for k, kind in (("d", "DC"), ("b", "B"))
+    )
+    + """, pv AS (SELECT 'mean_cd86_siinfekl_positive_dc' AS panel, lnp_region, lnp_call, avg(CD86) AS v FROM tg WHERE condition = 'LNP' GROUP BY ALL
+UNION ALL SELECT 'median_cd8_distance', lnp_region, lnp_call, median(md) FROM hc GROUP BY ALL
+UNION ALL SELECT 'pct_cd8_presence', lnp_region, lnp_call, avg(CASE WHEN has THEN 100.0 ELSE 0.0 END) FROM hc GROUP BY ALL
+UNION ALL SELECT 'cd4_foxp3_median', e.lnp_region, u.lnp_call, median(FOXP3) FROM ud u JOIN ex e ON e.cell_id = u.n GROUP BY ALL
+UNION ALL SELECT 'surrounding_cd4_foxp3_median', e.lnp_region, u.lnp_call, median(FOXP3) FROM ub u JOIN ex e ON e.cell_id = u.n GROUP BY ALL"""
+    + "".join(f"\nUNION ALL SELECT 'ova_b_{m.lower()}_median', lnp_region, lnp_call, median({m}) FROM ex WHERE lnp_positive AND ova_pos AND cell_type = 'B' GROUP BY ALL" for m in ("CD19", "CD138", "CD25"))
+    + f"""), w AS (SELECT panel, lnp_region, max(v) FILTER (lnp_call = 'LNP_08') AS a, max(v) FILTER (lnp_call = 'LNP_10') AS b FROM pv GROUP BY 1, 2 HAVING a IS NOT NULL AND b IS NOT NULL)
+SELECT panel, count(*) AS n, {r("CASE WHEN count(*) >= 2 AND stddev_samp(a - b) > 0 THEN avg(a - b) * sqrt(count(*)) / stddev_samp(a - b) END")} AS t FROM w GROUP BY 1"""
+)
+
+
+@query("G27_panel_statistics", _PANELS)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    out = _paired_panels(spark, d).where("test = 'paired_t' AND n > 0")
+    return out.select("panel", "n", F.when(F.abs("statistic") < float("inf"), F.col("statistic")).alias("t"))
 
 
 @query("S1_csv_round_trip", with_(CELLS) + f"SELECT lnp_region, count(*) AS n, {r('avg(x)')} AS mean_x FROM cells GROUP BY 1")

@@ -9,7 +9,7 @@ from cytospark.plans import registry
 
 
 #: Gated cells of one type near another: the smallest tables have none.
-SPARSE = {"G23_dc_cd8_section", "G24_dc_cd4_activation"}
+SPARSE = {"G23_dc_cd8_section", "G24_dc_cd4_activation", "G27_panel_statistics"}
 
 
 @pytest.fixture(scope="module")
@@ -27,9 +27,37 @@ def test_query(spark, small, con, name):
     assert name not in SPARSE or not df.isEmpty()
 
 
+#: What holds for the rows of each query without SQL.
+INVARIANTS = {
+    "C1_fit_neighborhoods": lambda t: len(t) == 8 and abs(t.pct_cells.sum() - 100) < 1e-3 and (t.n_cells >= 0).all(),
+    "C3_elbow": lambda t: list(t.sort_values("k").inertia) == sorted(t.inertia, reverse=True) and set(t.k) == {5, 8, 10, 12},
+    "G23_around_tests": lambda t: len(t) == 7 and ((t.p_value.isna()) | t.p_value.between(0, 1)).all() and (t.p_value.isna() | (t.n_regions >= 2)).all(),
+    "G23_dc_cd8_tests": lambda t: len(t) == 1 and (t.p_value.isna() | t.p_value.between(0, 1)).all(),
+    "G27_paired_panels": lambda t: set(t.panel) <= PANELS and (t.p_value.isna() | t.p_value.between(0, 1)).all() and not t.duplicated(["panel", "test"]).any(),
+    "G28_image_family": lambda t: t.cell.is_unique and (t.lnp_positive == (t.lnp_call != "no_barcode")).all() and set(t.barcode[t.lnp_positive]) <= {"110", "101", "011"},
+    "G28_fixed_family": lambda t: t.cell.is_unique and (t.lnp_positive == (t.lnp_call != "no_barcode")).all() and t.barcode.str.count("1").between(0, 3).all(),
+    "I5_suppress": lambda t: far(t, ["fov"], 9.0),
+    "I6_detect_tiled": lambda t: far(t, ["fov", "tile"], 9.0) and (t.tile == (t.i // 24).clip(upper=3)).all(),
+    "S11_manifest": lambda t: t.path.is_unique and t.sha256.str.fullmatch("[0-9a-f]{64}").all() and (t.size_bytes > 0).all() and len(t) == 14,
+}
+PANELS = {"mean_cd86_siinfekl_positive_dc", "median_cd8_distance", "pct_cd8_presence", "cd4_foxp3_median", "surrounding_cd4_foxp3_median", "ova_b_cd19_median", "ova_b_cd138_median", "ova_b_cd25_median"}
+
+
+def far(spots, by, distance) -> bool:
+    """No two spots of an image (or band) are nearer than the distance."""
+    for _, own in spots.groupby(by):
+        i, j = own.i.to_numpy(), own.j.to_numpy()
+        d = ((i[:, None] - i) ** 2 + (j[:, None] - j) ** 2) ** 0.5
+        if ((d < distance) & (d > 0)).any() or own.duplicated(["i", "j"]).any():
+            return False
+    return True
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_runs(spark, small, name):
-    assert registry.QUERIES[name](spark, small).count() >= 1
+    rows = registry.QUERIES[name](spark, small).toPandas()
+    assert len(rows) >= 1
+    assert INVARIANTS.get(name, lambda t: True)(rows), rows
 
 
 def test_all_rows_enter(spark, small):
