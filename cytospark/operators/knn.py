@@ -64,10 +64,16 @@ class Pyramid:
         self.extent = materialize(extent.select(group, "n", *_BOX, F.when(side > 0, side).otherwise(1.0).alias("side"), start.alias("start")), "extent")
         placed = self.place(points)
         first = materialize(_counted(placed, F.col("start"), group), "cells")
+        top = first.agg(F.coalesce(F.max("level"), F.lit(0)).alias("level"), F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()
+        self.single = top.level == 0 and top.n <= leaf
+        self.deeper: list[DataFrame] = []
+        if self.single:  # one leaf for each group
+            self.cells = self.leaves = first
+            self.first = first.select(group, "i", "j", "level")
+            return
         merged = _ancestors(first, group, True, "n", *_BOX)
         sums = [F.sum("n").alias("n"), *[f(name).alias(name) for name, (_, f) in _BOX.items()]]
         cells = [materialize(merged.groupBy(group, *_CELL).agg(*sums), "cells")]
-        self.deeper: list[DataFrame] = []
         level, full = F.col("start"), self._full(first)
         while not full.isEmpty():
             self.deeper.append(full)
@@ -149,6 +155,7 @@ def _visit(visits: DataFrame, refs: DataFrame, k: int, exclude_self: bool, group
     sizes = materialize(visits.groupBy(*leaf).agg(F.ceil(F.count(F.lit(1)) / TARGETS).cast("int").alias("parts")), "sizes")
     left = visits.join(sizes, leaf).withColumn("part", F.pmod(F.xxhash64("target_id"), F.col("parts")).cast("int")).drop("parts")
     right = refs.join(sizes, leaf).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    right = right.toDF(*right.columns)  # names of its own, where both sides come from one table
     fields = [f for f in left.schema.fields if f.name in carry] + [f for f in right.schema.fields if f.name.startswith("neighbor_")] + [T.StructField("d2", T.DoubleType())]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
     run = _kernel(k, exclude_self, to_arrow_schema(schema), group)
@@ -203,6 +210,13 @@ def knn_pairs(targets: DataFrame, reference: DataFrame, k: int, group: str = "ln
     leaf = max(leaf, 4 * (k + 2))
     points = reference.select(group, F.col("cell_id").alias("neighbor_id"), "x", "y", *[F.col(c).alias(f"neighbor_{c}") for c in keep])
     pyramid = Pyramid(points.select(group, "x", "y"), group, leaf)
+    rank = F.row_number().over(W.partitionBy(group, "target_id").orderBy("d2", "neighbor_id"))
+    out = [group, "target_id", "neighbor_id", "rank", F.sqrt("d2").alias("distance"), *[f"neighbor_{c}" for c in keep]]
+    if pyramid.single:
+        whole = {"level": F.lit(0), "i": F.lit(0).cast("bigint"), "j": F.lit(0).cast("bigint")}
+        refs = points.withColumnsRenamed({"x": "nx", "y": "ny"}).withColumns(whole)
+        here = targets.select(group, F.col("cell_id").alias("target_id"), F.col("x").alias("tx"), F.col("y").alias("ty"), F.lit(float("inf")).alias("reach")).withColumns(whole)
+        return _visit(here, refs, k, exclude_self, group, [group, "target_id"]).withColumn("rank", rank).select(*out)
     refs = pyramid.assign(pyramid.place(points))
     crowded = pyramid.leaves.where(F.col("n") > leaf).select(group, *_CELL)
     if not crowded.isEmpty():
@@ -225,8 +239,7 @@ def knn_pairs(targets: DataFrame, reference: DataFrame, k: int, group: str = "ln
     state = materialize(state.where(~settled), "open")
     if not state.isEmpty():
         own = own.unionByName(_elsewhere(state, refs, pyramid, k, exclude_self))
-    rank = F.row_number().over(W.partitionBy(*mine).orderBy("d2", "neighbor_id"))
-    return own.withColumn("rank", rank).where(F.col("rank") <= k).select(*mine, "neighbor_id", "rank", F.sqrt("d2").alias("distance"), *[f"neighbor_{c}" for c in keep])
+    return own.withColumn("rank", rank).where(F.col("rank") <= k).select(*out)
 
 
 def _elsewhere(state: DataFrame, refs: DataFrame, pyramid: Pyramid, k: int, exclude_self: bool) -> DataFrame:

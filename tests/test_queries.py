@@ -31,6 +31,8 @@ def test_query(spark, small, con, name):
 INVARIANTS = {
     "C1_fit_neighborhoods": lambda t: len(t) == 8 and abs(t.pct_cells.sum() - 100) < 1e-3 and (t.n_cells >= 0).all(),
     "C3_elbow": lambda t: list(t.sort_values("k").inertia) == sorted(t.inertia, reverse=True) and set(t.k) == {5, 8, 10, 12},
+    "F9_paired_t_test": lambda t: (t.p_value.isna() | t.p_value.between(0, 1)).all(),
+    "F10_signed_rank_test": lambda t: (t.p_value.isna() | t.p_value.between(0, 1)).all(),
     "G23_around_tests": lambda t: len(t) == 7 and ((t.p_value.isna()) | t.p_value.between(0, 1)).all() and (t.p_value.isna() | (t.n_regions >= 2)).all(),
     "G23_dc_cd8_tests": lambda t: len(t) == 1 and (t.p_value.isna() | t.p_value.between(0, 1)).all(),
     "G27_paired_panels": lambda t: set(t.panel) <= PANELS and (t.p_value.isna() | t.p_value.between(0, 1)).all() and not t.duplicated(["panel", "test"]).any(),
