@@ -133,9 +133,10 @@ def scan(documents: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES
     key = F.when(F.col("short"), _short_keys(F.col("m"), _hashes(F.col("template")))).otherwise(_keys(F.col("m"), _hashes(F.col("template")), F.col("bands")))
     wanted = known.select("template_id", "template", F.explode(key).alias("key"))
     wanted_keys = sorted({r[0] for r in wanted.select("key").collect()})
-    lower, any_marked = F.translate("text", _UPPER, _LOWER), F.lit(False)
-    for x in sorted({x for some in marked.values() for x in some}):
-        any_marked = any_marked | F.contains(lower, F.lit(x))
+    # folding all case finds words of ASCII at least where folding A-Z does, and is faster; other words are looked for as templates are folded
+    folded, exact, any_marked = F.lower("text"), F.translate("text", _UPPER, _LOWER), F.lit(False)
+    for x in sorted({x for some in marked.values() for x in some}, key=lambda x: (not x.isascii(), x)):
+        any_marked = any_marked | F.contains(folded if x.isascii() else exact, F.lit(x))
     docs = documents.select("doc_id", "text").where(any_marked)
     docs = docs.select("doc_id", F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(WORD), F.lit(0)).alias("words"))
     # windows are cut before they become rows, so that no row has more than its window
