@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
 
-#: Bins of a histogram.
-BINS = 1024
+#: Bins of a histogram, and rows up to which a group's values may be in one buffer.
+BINS, SMALL = 1024, 65_536
 _LARGEST = 1.7976931348623157e308
 
 
@@ -61,11 +61,13 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float])
     """(by, n, q0, q1, ...): exact quantiles of the values of each group, between neighbours in proportion; nulls don't count, and groups without values have no row.
 
     Both neighbours of a quantile are rows with a number in order. An interval is known to hold such a row, with a count of what is below; each round counts the interval's rows by
-    `BINS` bins with the least and the largest of each, and goes on with the bin that holds the row, until that has one value. Infinite values count as the largest doubles.
+    `BINS` bins with the least and the largest of each, and goes on with the bin that holds the row, until that has one value. Where no group has more than `SMALL` rows, one aggregation does. Infinite values count as the largest doubles.
     """
     rows = df.select(*by, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     rows = rows.withColumn("v", F.greatest(F.least("v", F.lit(_LARGEST)), F.lit(-_LARGEST)))
-    whole = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    whole = materialize(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")), "extent")
+    if (whole.agg(F.max("n")).first()[0] or 0) <= SMALL:
+        return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.percentile("v", F.lit(float(q))).alias(f"q{i}") for i, q in enumerate(qs)])
     ends = F.explode(F.array(*[F.struct(F.lit(i).alias("q"), F.lit(e).alias("end"), f(F.lit(float(q)) * (F.col("n") - 1)).cast("bigint").alias("at")) for i, q in enumerate(qs) for e, f in enumerate((F.floor, F.ceil))])).alias("w")
     state = materialize(whole.select(*by, "n", "lo", "hi", F.lit(0).cast("bigint").alias("below"), ends).select(*by, "n", "lo", "hi", "below", "w.*"), "quantiles")
     while not (wanted := state.where("lo < hi")).isEmpty():

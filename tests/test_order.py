@@ -30,9 +30,10 @@ def test_ranks(spark):
     assert "SinglePartition" not in plan.split("__part")[0]
 
 
-@pytest.mark.parametrize("bins", [1024, 2])
-def test_quantiles(spark, monkeypatch, bins):
+@pytest.mark.parametrize(("bins", "small"), [(1024, 0), (2, 0), (1024, 1000)])
+def test_quantiles(spark, monkeypatch, bins, small):
     monkeypatch.setattr(order, "BINS", bins)
+    monkeypatch.setattr(order, "SMALL", small)
     df, rows = frame(spark, 400)
     qs = [0.0, 0.1, 0.5, 0.95, 1.0]
     got = {r.g: r for r in order.quantiles(df, ["g"], "v", qs).collect()}
@@ -44,7 +45,9 @@ def test_quantiles(spark, monkeypatch, bins):
     assert one.q0 == pytest.approx(rows.v.quantile(0.25), rel=1e-12)
 
 
-def test_quantiles_edges(spark):
+@pytest.mark.parametrize("small", [0, 1000])
+def test_quantiles_edges(spark, monkeypatch, small):
+    monkeypatch.setattr(order, "SMALL", small)
     rows = [("one", 4.0), ("inf", float("inf")), ("inf", float("-inf")), ("inf", 1.0), ("nan", float("nan")), ("none", None), ("wide", -1.7e308), ("wide", 1.7e308), ("wide", 0.0), *[("same", 2.5)] * 50]
     df = spark.createDataFrame(rows, "g string, v double")
     got = {r.g: (r.n, r.q0) for r in order.quantiles(df, ["g"], "v", [0.5]).collect()}
