@@ -118,8 +118,10 @@ def _names(g: np.ndarray, name: np.ndarray, late: np.ndarray, key: np.ndarray, m
     kind = np.where(plain, PLAIN, COVERED).astype(np.int8)
     if most and plain.any():
         own = np.flatnonzero(plain)
+        if late.any():  # documents with and without id have two names each there, as an index keeps only the former
+            own = own[np.lexsort((name[own], late[own], g[own]))]
         first = np.ones(len(own), bool)
-        first[1:] = g[own][1:] != g[own][:-1]
+        first[1:] = (g[own][1:] != g[own][:-1]) | (late[own][1:] != late[own][:-1])
         begin = np.flatnonzero(first)
         size = np.diff(np.append(begin, len(own)))
         rank = np.arange(len(own)) - np.repeat(begin, size)

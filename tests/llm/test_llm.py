@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import shutil
 from collections import Counter
 
 import duckdb
@@ -401,6 +402,29 @@ def test_index_opened_again(spark):
     assert "Exchange" not in plan and "SortMergeJoin" in plan
 
 
+@pytest.mark.parametrize("ends", [(10, 25, 110), (10, 110), (5, 10, 25, 105, 201)])
+def test_index_answers_a_batch_alone(spark, tmp_path, ends):
+    """Each batch is a table of its own, which is gone before the next one comes; documents without id come early, too."""
+    rows = [r for r in varied() if r[0] is not None]
+    index, got, low = fingerprint_index.FingerprintIndex(spark, max_runs=2), [], -1
+    nobody = [(None, rows[3][1]), (None, "q " * 20), (None, f"{PASSAGE} {rows[7][1]}")]
+    seen, want = [], []
+    for n, end in enumerate([*ends, 10**6]):
+        own = [r for r in rows if low <= r[0] < end] + nobody[n : n + 1]
+        path = str(tmp_path / f"batch-{n}")
+        spark.createDataFrame(own, "doc_id long, text string").write.parquet(path)
+        got += [tuple(r) for r in index.answer(spark.read.parquet(path), fingerprint_index._digest, "n_words bigint, n_removed bigint, kept_sha256 string").collect()]
+        shutil.rmtree(path)
+        want += cut_words(seen + own)[len(seen) :]
+        seen, low = seen + [r for r in own if r[0] is not None], end
+    assert by_text(got) == by_text(want) and sum(r[2] for r in got) > 500
+    assert len(index.runs) == len(index.windows) == 2 and index.highest == 202
+    again = fingerprint_index.FingerprintIndex(spark, index.folder, max_runs=2)
+    assert (again.runs, again.windows, again.texts, again.highest) == (index.runs, index.windows, index.texts, 202)
+    with pytest.raises(ValueError, match="rising doc_id"):
+        again.answer(spark.createDataFrame([(3, PASSAGE)], "doc_id long, text string"), fingerprint_index._digest, "n_words bigint, n_removed bigint, kept_sha256 string")
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.1", n) for n in ("documents", "labels"))
     model = toxicity.fit(toxicity.labelled_features(docs, labels.where("doc_id % 2 = 0")))
