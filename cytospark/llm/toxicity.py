@@ -5,7 +5,8 @@ vector serves all thresholds: P(grade > k) = sigmoid(w . x - theta_k) with theta
 sum of these probabilities. A feature is whether a word, or a stem (the first bytes of longer words), occurs in the text, for those that Spark's counts over the labelled
 sample show to depend on a grade (chi-squared above `MIN_CHI2`).
 
-The model is fitted on a bounded sample, the `SAMPLE` labelled documents of the smallest hash of doc_id; their features go to the driver.
+The model is fitted on a bounded sample, the `SAMPLE` labelled documents of the smallest hash of doc_id; all their words that pass the test go to the
+driver, which is what bounds the model.
 All documents are scored, whole texts, by one pass without a shuffle.
 
 Nulls and edge cases: a null or empty text has no features and gets the base rate; labels with a null, and labels of no
@@ -25,8 +26,8 @@ from .common import ALNUM_LOWER, Rolling, byte_symbols, join_texts, materialize,
 
 #: The most labelled documents that the fit looks at.
 SAMPLE = 20_000
-#: Words of the model: at most so many, each in so many documents of the sample at least, with such a chi-squared.
-MAX_WORDS, MIN_DOCS, MIN_CHI2 = 4096, 5, 25.0
+#: Words of the model: each in so many documents of the sample at least, with such a chi-squared.
+MIN_DOCS, MIN_CHI2 = 5, 25.0
 #: Bytes of the stems that are features beside the whole words.
 STEMS = (8,)
 #: Grades, steps and step size of the fit, and its ridge penalty.
@@ -88,23 +89,28 @@ def fit(features: DataFrame) -> dict:
     if not scores:
         return {"words": np.zeros(0, np.uint64), "weights": np.zeros(0), "theta": np.array([50.0, 60.0])}
     score = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    top = counts.where(seen >= MIN_DOCS).select("word", score.alias("score")).where(F.col("score") >= MIN_CHI2).orderBy(F.desc("score"), "word").limit(MAX_WORDS)
-    words = np.sort(np.array([r[0] for r in top.collect()], np.int64).view(np.uint64))
+    chosen = counts.where((seen >= MIN_DOCS) & (score >= MIN_CHI2)).select("word")
+    words = np.sort(np.array([r[0] for r in chosen.collect()], np.int64).view(np.uint64))
     chosen = features.mapInArrow(_chooser(features.sparkSession.sparkContext.broadcast(words)), "grade int, columns binary")
     rows = chosen.groupBy("grade", "columns").count().orderBy("grade", "columns").collect()
     return {"words": words, **_ordinal(rows, words)}
 
 
+def _numbers(words: np.ndarray) -> str:
+    """The type of a document's column numbers."""
+    return "<u2" if len(words) <= 1 << 16 else "<u4"
+
+
 def _chooser(words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The model's columns of each document, in order, as 16-bit numbers."""
+        """The model's columns of each document, in order, as 16-bit numbers, or 32-bit ones where there are many words."""
         known = words.value
         for batch in batches:
             columns = []
             for own in batch.column("words"):
                 own = own.values.to_numpy().view(np.uint64)
                 at = np.minimum(np.searchsorted(known, own), max(len(known) - 1, 0))
-                columns.append(np.sort(at[known[at] == own]).astype("<u2").tobytes() if len(known) else b"")
+                columns.append(np.sort(at[known[at] == own]).astype(_numbers(known)).tobytes() if len(known) else b"")
             yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(columns, pa.binary())], ["grade", "columns"])
 
     return run
@@ -113,7 +119,7 @@ def _chooser(words):
 def _ordinal(rows: list, words: np.ndarray) -> dict:
     """Weights and thresholds by gradient steps (Adam) on the mean log-likelihood of (grade, columns, count)."""
     grade, times = np.array([r[0] for r in rows]), np.array([r[2] for r in rows], float)
-    parts = [np.frombuffer(r[1], "<u2") for r in rows]
+    parts = [np.frombuffer(r[1], _numbers(words)) for r in rows]
     at = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
     col = np.concatenate(parts).astype(np.int64)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))

@@ -402,6 +402,18 @@ def test_index_opened_again(spark):
     assert "Exchange" not in plan and "SortMergeJoin" in plan
 
 
+def test_toxicity_of_many_words(spark):
+    """More words than 16 bits number all become features, and each has its say."""
+    n = 70_000
+    texts = [" ".join(f"{'bad' if toxic else 'good'}{i}" for i in range(n // 2)) for toxic in (0, 1)]
+    docs = spark.createDataFrame([(i, texts[i % 2]) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(toxicity.labelled_features(docs, labels))
+    assert len(model["words"]) >= n and len(model["weights"]) == len(model["words"])
+    p = toxicity.probabilities(model, [b"bad7 bad34999", b"good7 good34999", *[t.encode() for t in texts]])[:, -1]
+    assert p[0] > p[1] and p[2] < 0.1 and p[3] > 0.9
+
+
 @pytest.mark.parametrize("ends", [(10, 25, 110), (10, 110), (5, 10, 25, 105, 201)])
 def test_index_answers_a_batch_alone(spark, tmp_path, ends):
     """Each batch is a table of its own, which is gone before the next one comes; documents without id come early, too."""
