@@ -305,7 +305,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query("S1_csv_round_trip", with_(CELLS) + f"SELECT lnp_region, count(*) AS n, {r('avg(x)')} AS mean_x FROM cells GROUP BY 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/csv-{spark.sparkContext.applicationId}"
+    from uuid import uuid4
+
+    path = f"{shared_folder(spark)}/csv-{uuid4().hex}"  # an earlier result may still read its own
     files.write_csv(cells(spark, d).select("cell_id", "lnp_region", "x"), path)
     return files.read_csv(spark, path, "cell_id bigint, lnp_region string, x double").groupBy("lnp_region").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean_x"))
 
