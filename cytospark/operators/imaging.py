@@ -20,7 +20,8 @@ from .spatial import nearest_within
 def dense(pixels: DataFrame, by: Sequence[str], height: int, width: int) -> DataFrame:
     """Every pixel of every image; absent ones are 0."""
     grid = pixels.select(*by).distinct().withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(height - 1)))).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
-    return grid.join(pixels.withColumns({"i": F.col("i").cast("int"), "j": F.col("j").cast("int")}), [*by, "i", "j"], "left").fillna(0, ["v"])
+    # the grid seems small where it isn't, as Spark doesn't count what `explode` adds: never broadcast it
+    return grid.hint("merge").join(pixels.withColumns({"i": F.col("i").cast("int"), "j": F.col("j").cast("int")}), [*by, "i", "j"], "left").fillna(0, ["v"])
 
 
 def bands(pixels: DataFrame, height: int, n_tiles: int, overlap: int) -> DataFrame:

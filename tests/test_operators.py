@@ -213,3 +213,14 @@ def test_stream(spark, tmp_path):
         incremental.append(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / "out")).count() == expected
         spots.write.mode("append").parquet(source)
+
+
+def test_dense_grid_is_not_broadcast(spark):
+    """A filter on the values makes the join an inner one, whose small-looking side is the grid."""
+    from cytospark.operators import imaging as I
+
+    px = spark.range(4000).selectExpr("cast(id % 50 as int) as fov", "cast(id % 96 as int) as i", "cast(id % 95 as int) as j", "cast(id as double) as v").dropDuplicates(["fov", "i", "j"])
+    bright = I.dense(px, ["fov"], 96, 96).where("v > 40")
+    assert bright.count() == px.where("v > 40").count()
+    bright.collect()
+    assert "BroadcastHashJoin" not in bright._jdf.queryExecution().executedPlan().toString()
