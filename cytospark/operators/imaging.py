@@ -209,15 +209,42 @@ def _disk(outer: int) -> list[tuple[int, int, float]]:
 
 
 def local_snr(candidates: DataFrame, pixels: DataFrame, by: Sequence[str], core: int = 1, inner: int = 3, outer: int = 5, channel: Sequence[str] = ()) -> DataFrame:
-    """(by, i, j, channel, snr): the largest value of the core over the median of the ring, in each channel of the image; infinite over a dark ring, 0 without signal."""
-    spark = candidates.sparkSession
-    offsets = spark.createDataFrame(_disk(outer), "di int, dj int, d double")
-    around = candidates.select(*by, "i", "j").distinct().crossJoin(F.broadcast(offsets)).withColumn("pi", F.col("i") + F.col("di")).withColumn("pj", F.col("j") + F.col("dj"))
-    values = around.join(pixels.select(*by, *channel, F.col("i").alias("pi"), F.col("j").alias("pj"), "v"), [*by, "pi", "pj"])
-    signal, ring = F.max(F.when(F.col("d") <= core, F.col("v"))), F.median(F.when(F.col("d") > inner, F.col("v")))
-    out = values.groupBy(*by, "i", "j", *channel).agg(signal.cast("double").alias("signal"), F.coalesce(ring, F.lit(0.0)).alias("ring"))
-    snr = F.when(F.col("ring") > 0, F.try_divide("signal", "ring")).when(F.col("signal") > 0, F.lit(float("inf"))).otherwise(0.0)
-    return out.select(*by, "i", "j", *channel, snr.alias("snr"))
+    """(by, i, j, channel, snr): the largest value of the core over the median of the ring, in each channel of the image; infinite over a dark ring, 0 without signal.
+
+    Tiles with a halo of the ring; a pixel goes out once and not once for each candidate around it.
+    """
+    disk = _disk(outer)
+    middle, around = ([(a + outer, b + outer) for a, b, d in disk if keep(d)] for keep in (lambda d: d <= core, lambda d: d > inner))
+
+    def kernel(image: np.ndarray, part: pd.DataFrame) -> pd.DataFrame:
+        spot = part["spot"].to_numpy(bool)
+        i, j, v = part["i"].to_numpy() - part["i"].min(), part["j"].to_numpy() - part["j"].min(), part["v"].to_numpy(float)
+        values, there = np.full([n + 2 * outer for n in image.shape], np.nan), np.zeros([n + 2 * outer for n in image.shape], bool)
+        values[i[~spot] + outer, j[~spot] + outer], there[i[~spot] + outer, j[~spot] + outer] = v[~spot], True
+        i, j = i[spot], j[spot]
+        snr, seen = np.zeros(len(i)), np.zeros(len(i), bool)
+        for n in range(0, len(i), 16_384):
+            a, b = i[n : n + 16_384], j[n : n + 16_384]
+            at = lambda table, steps, a=a, b=b: np.stack([table[a + x, b + y] for x, y in steps], 1)
+            ring = np.sort(at(values, around), 1)  # absent pixels are last
+            m = (~np.isnan(ring)).sum(1)
+            row = np.arange(len(a))
+            ring = np.where(m > 0, (ring[row, np.maximum(m - 1, 0) // 2] + ring[row, np.minimum(m // 2, ring.shape[1] - 1)]) / 2, 0.0)
+            signal = np.fmax.reduce(at(values, middle), 1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                snr[n : n + 16_384] = np.where(ring > 0, signal / ring, np.where(signal > 0, np.inf, 0.0))
+            seen[n : n + 16_384] = at(there, [(x + outer, y + outer) for x, y, _ in disk]).any(1)
+        return pd.DataFrame({"i": i[seen], "j": j[seen], "snr": snr[seen]})
+
+    spots = candidates.select(*by, "i", "j").distinct()
+    if channel:
+        spots = spots.join(pixels.select(*by, *channel).distinct(), list(by))
+    every = [*by, *channel]
+    place = lambda df, v, spot: df.select(*every, F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), v.cast("double").alias("v"), F.lit(spot).alias("spot"))
+    both = place(pixels, F.col("v"), False).unionByName(place(spots, F.lit(None), True))
+    kinds = dict(candidates.dtypes)
+    out = _per_tile(both, every, kernel, "i bigint, j bigint, snr double", outer, ["spot"])
+    return out.select(*by, *[F.col(c).cast(kinds[c]).alias(c) for c in "ij"], *channel, "snr")
 
 
 def binned(pixels: DataFrame, by: Sequence[str], bins: int = 256) -> DataFrame:

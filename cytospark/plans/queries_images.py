@@ -13,6 +13,7 @@ from ..operators.relational import anti_count, dense_labels, merge_report, top_o
 from ..schemas import LNP_REGIONS
 from ..sources import contracts, files
 from ..sources.cells import cells, table
+from ..sources.scratch import materialize
 from .sql import CELLS, r, with_
 
 QUERIES, ORACLES = {}, {}
@@ -196,7 +197,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     + f"SELECT fov, i, j, {r('s / b')} AS snr FROM sg WHERE b > 0",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
-    px = pixels(spark, d)
+    px = materialize(pixels(spark, d), "pixels")
     return I.local_snr(px.where("v > 60"), px, BY).where(F.col("snr") < float("inf"))
 
 

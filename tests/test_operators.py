@@ -224,3 +224,28 @@ def test_dense_grid_is_not_broadcast(spark):
     assert bright.count() == px.where("v > 40").count()
     bright.collect()
     assert "BroadcastHashJoin" not in bright._jdf.queryExecution().executedPlan().toString()
+
+
+def test_local_snr_against_every_pixel(spark):
+    """Absent pixels, null values, places without a pixel, tiles' borders and two channels."""
+    import math
+
+    import numpy as np
+
+    from cytospark.operators import imaging as I
+
+    rng = np.random.default_rng(1)
+    px = {(c, i, j): (None if rng.random() < 0.02 else float(rng.integers(0, 9))) for c in "ab" for i in range(500, 524) for j in range(30) if rng.random() < (0.7 if c == "a" else 0.1)}
+    spots = [(i, j) for i in range(494, 530) for j in range(0, 36)]
+    got = I.local_snr(spark.createDataFrame([("x", i, j) for i, j in spots * 2], "f string, i int, j int"), spark.createDataFrame([("x", *k, v) for k, v in px.items()], "f string, c string, i int, j int, v double"), ["f"], channel=["c"])
+    assert dict(got.dtypes)["i"] == "int"
+    want = {}
+    for c in "ab":
+        for i, j in spots:
+            near = [(math.hypot(a, b), px[c, i + a, j + b]) for a in range(-5, 6) for b in range(-5, 6) if (c, i + a, j + b) in px and math.hypot(a, b) <= 5]
+            if near:
+                signal = max((v for d, v in near if d <= 1 and v is not None), default=None)
+                ring = [v for d, v in near if d > 3 and v is not None]
+                ring = float(np.median(ring)) if ring else 0.0
+                want[c, i, j] = (None if signal is None else signal / ring) if ring > 0 else math.inf if signal else 0.0
+    assert {(r.c, r.i, r.j): r.snr for r in got.collect()} == want
