@@ -1,4 +1,4 @@
-"""Exact neighbour joins in the plane by bucket equi-joins: within a radius, and nearest one. `knn` has the k nearest.
+"""Exact neighbour joins in the plane within a radius, by bucket equi-joins, and nearest one, by `knn`, which has the k nearest.
 
 Points are rows with an id, x, y and a group column that neighbours share; coordinates must not be null. Ties are broken by id.
 """
@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .knn import knn_pairs
+from .knn import knn_lists, knn_pairs
 
 __all__ = ["keep_nearest", "knn_pairs", "nearest_within", "radius_pairs", "tile_of"]
 
@@ -35,12 +35,15 @@ def radius_pairs(targets: DataFrame, reference: DataFrame, radius: float, group:
     return pairs.where(near).select(group, "target_id", "neighbor_id", distance.alias("distance"), *[f"neighbor_{c}" for c in keep])
 
 
-def nearest_within(targets: DataFrame, reference: DataFrame, radius: float, **options) -> DataFrame:
-    """(group, target_id, neighbor_id, distance): the nearest reference point below the radius, of equal ones the smallest id."""
-    pairs = radius_pairs(targets, reference, radius, strict=True, **options)
-    group = options.get("group", "lnp_region")
-    best = pairs.groupBy(group, "target_id").agg(F.min(F.struct("distance", "neighbor_id")).alias("b"))
-    return best.select(group, "target_id", "b.neighbor_id", "b.distance")
+def nearest_within(targets: DataFrame, reference: DataFrame, radius: float, group: str = "lnp_region", target_id: str = "cell_id", ref_id: str = "cell_id") -> DataFrame:
+    """(group, target_id, neighbor_id, distance): the nearest reference point below the radius, of equal ones the smallest id. Ids are unique within their group.
+
+    No pairs are listed, which would grow with the square of the points.
+    """
+    points = lambda df, key: df.select(group, F.col(key).alias("cell_id"), "x", "y")
+    lists = knn_lists(points(targets, target_id), points(reference, ref_id), 1, group, exclude_self=False, radius=float(radius))
+    best = lists.where(F.size("near") > 0).select(group, "target_id", F.element_at("near", 1).alias("n"))
+    return best.select(group, "target_id", "n.neighbor_id", F.sqrt("n.d2").alias("distance")).where(F.col("distance") < radius)
 
 
 def keep_nearest(pairs: DataFrame, neighbor: str = "neighbor_id") -> DataFrame:
