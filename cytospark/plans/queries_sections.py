@@ -197,7 +197,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 def _around(spark: SparkSession, d: str) -> X.AroundSection:
     c = E.gate_peptide(E.gate_genes(cells(spark, d)))
-    return X.AroundSection(*_targets(c), "CD8+ T", "cd8", N.neighbor_composition(c), "quarter", ks=(10, 20), radii=(10.0, 25.0))
+    return X.AroundSection(*_targets(c), "CD8+ T", "cd8", label="quarter", ks=(10, 20), radii=(10.0, 25.0))
 
 
 def _targets(c: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -70,7 +70,7 @@ def correlations(table: DataFrame, x: str = "uptake_composition_pct", y: str = "
 
 def fit_neighborhoods(cells: DataFrame, kinds: Sequence[str], k: int = 12, seed: int = 0, names: dict[int, str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells with cluster and name, composition of names, names by size) of k-means over the ten nearest cells' types."""
-    rows = C.to_array(N.neighbor_composition(cells), "cell_id", "cell_type", "fraction", kinds)
+    rows = N.composition_array(cells, kinds)
     centroids, _ = C.fit_centroids(rows, k, seed)
     assigned = C.assign(rows, centroids)
     pct = C.composition_percent(C.cluster_means(assigned, kinds))
@@ -93,12 +93,12 @@ def target_section(cells: DataFrame, targets: DataFrame, kind: str, markers: Seq
 class AroundSection:
     """What lies around targets, by region and call: nearest cells of a type at several k, within several radii, and of the k nearest within a radius; composition of the neighbours; neighbourhoods of the targets.
 
-    `composition` is (cell_id, cell_type, fraction); `label`, if given, is the column of cells with their neighbourhood. Tests compare the two calls of `PAIR`. Each table is made when it is asked for.
+    `composition` is (cell_id, cell_type, fraction), and is made for the targets when it is asked for, if none is given; `label`, if given, is the column of cells with their neighbourhood. Tests compare the two calls of `PAIR`. Each table is made when it is asked for.
     """
 
     BY = ("lnp_region", "lnp_call")
 
-    def __init__(self, cells: DataFrame, targets: DataFrame, kind: str, name: str, composition: DataFrame, label: str | None = None, ks: Sequence[int] = (10, 20, 30), radii: Sequence[float] = (10.0, 25.0, 50.0), k: int = 10, radius: float = 25.0, marker: str = "CD86"):
+    def __init__(self, cells: DataFrame, targets: DataFrame, kind: str, name: str, composition: DataFrame | None = None, label: str | None = None, ks: Sequence[int] = (10, 20, 30), radii: Sequence[float] = (10.0, 25.0, 50.0), k: int = 10, radius: float = 25.0, marker: str = "CD86"):
         self.cells, self.targets, self.kind, self.name, self.composition, self.label = cells, targets, kind, name, composition, label
         self.ks, self.radii, self.k, self.radius, self.marker = ks, radii, k, radius, marker
 
@@ -144,7 +144,8 @@ class AroundSection:
 
     def composition_around(self, by: Sequence[str] = BY) -> DataFrame:
         """Mean shares of the neighbours' types; by call only, they are those of all regions together."""
-        return N.focused_composition(self.targets, self.composition, by)
+        composition = N.neighbor_composition(self.cells, targets=self.targets) if self.composition is None else self.composition
+        return N.focused_composition(self.targets, composition, by)
 
     def abundance(self, by: Sequence[str] = ("lnp_region",)) -> DataFrame:
         """How the targets of each call spread over the neighbourhoods."""

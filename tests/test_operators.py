@@ -249,3 +249,17 @@ def test_local_snr_against_every_pixel(spark):
                 ring = float(np.median(ring)) if ring else 0.0
                 want[c, i, j] = (None if signal is None else signal / ring) if ring > 0 else math.inf if signal else 0.0
     assert {(r.c, r.i, r.j): r.snr for r in got.collect()} == want
+
+
+def test_section_makes_no_composition_unasked(spark, small, monkeypatch):
+    """Only `composition_around` looks for neighbours' types, and only of the targets."""
+    from cytospark.operators import neighbors as N
+    from cytospark.plans import queries_sections as Q
+
+    asked = []
+    plain = N.neighbor_composition
+    monkeypatch.setattr(N, "neighbor_composition", lambda *a, **k: asked.append(k.get("targets")) or plain(*a, **k))
+    section = Q._around(spark, small)
+    assert not asked
+    section.composition_around()
+    assert asked == [section.targets]
