@@ -52,3 +52,26 @@ def test_no_task_has_a_crowded_bucket(spark, monkeypatch):
             spark.conf.set(k, v)
     assert sum(rows) == 400 * 400
     assert len(rows) == 4 and max(rows) < 80_000
+
+
+def test_tasks_follow_the_pairs(spark, monkeypatch):
+    """Four times the pairs in the same buckets are made by about four times the tasks, and none has much more."""
+    monkeypatch.setattr(spatial, "TASK", 20_000, raising=False)
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = []
+        for n in (2000, 4000):
+            points = spark.range(n).select(F.col("id").alias("cell_id"), F.expr("concat('r', id % 1)").alias("lnp_region"), (F.col("id") * 37 % 100).cast("double").alias("x"), (F.col("id") * 61 % 97).cast("double").alias("y"))
+            pairs = spatial.radius_pairs(points, points, 5.0)
+            found.append((pairs.rdd.getNumPartitions(), [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]))
+            xy = points.select("x", "y").toPandas().to_numpy()
+            assert sum(found[-1][1]) == (((xy[:, None] - xy) ** 2).sum(2) <= 25).sum()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    (few, small), (many, large) = found
+    assert few > 4 and many > 3.5 * few
+    assert max(large) < 1.5 * max(small) and max(large) < 20_000
